@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ STOP_WORDS = (
     "el", "los", "y", "del", "se", "las", "por", "con", "no", "una", "para", "su", "al",
 )
 WINDOW = 5
+#: A shorter text may lack stop words.
+STOP_FROM = 50
+BULLET = r"^[\x20\x09-\x0D]*[-*•●]"
 
 #: What may not be kept whatever the method says: (feature, relation a kept text satisfies, threshold).
 BASE_RULES = (("n_words", ">=", 10), ("repeat_percent", "<=", 20))
@@ -24,12 +28,11 @@ BASE_RULES = (("n_words", ">=", 10), ("repeat_percent", "<=", 20))
 RULES = (
     ("mean_word_chars", ">=", 2.0),
     ("mean_word_chars", "<=", 15.0),
-    ("symbol_ratio", "<=", 0.25),
+    ("symbol_ratio", "<=", 0.1),
     ("upper_ratio", "<=", 0.6),
     ("dup_line_ratio", "<=", 0.5),
     ("bullet_line_ratio", "<=", 0.9),
     ("ellipsis_line_ratio", "<=", 0.5),
-    ("alpha_word_ratio", ">=", 0.5),
     ("stop_word_ratio", ">=", 0.002),
 )
 RELATIONS = {">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b}
@@ -43,32 +46,40 @@ def compile_rules(rules) -> Column:
 
 def _counts(text: Column) -> dict[str, Column]:
     """Counts that a pattern or a replacement finds in one pass over the text, and the two arrays."""
-    count = lambda pattern, of=text: F.regexp_count(of, F.lit(pattern)).cast("long")
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
     bare = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), (" ", "\n", "\t", "\r", "\x0b", "\x0c"), text)
     return {
         "words_": F.array_remove(F.split(text, SPACE + "+"), ""),
         "lines_": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
         "word_chars": F.length(bare).cast("long"),
         "n_symbols": count("[#*$%&|<>]"),
-        "n_letters_": count(r"\p{L}"),
         "n_upper_": count(r"\p{Lu}"),
-        "n_alpha_": count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]*+\p{L}"),
-        "n_stop_": count(r"(?<![^\x20\x09-\x0D])(?:" + "|".join(STOP_WORDS) + r")(?![^\x20\x09-\x0D.,;:!?])", F.lower(text)),
     }
 
 
 def _of_arrays() -> dict[str, Column]:
-    hashes = F.transform("words_", lambda x: F.xxhash64(x))
     return {
         "n_words": F.size("words_").cast("long"),
         "n_lines_": F.size("lines_").cast("long"),
         "n_dup_lines": (F.size("lines_") - F.size(F.array_distinct("lines_"))).cast("long"),
-        "n_bullets_": F.size(F.filter("lines_", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•●]"))).cast("long"),
-        "n_ellipses_": F.size(F.filter("lines_", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long"),
-        "hashes_": hashes,
+        "n_bullets_": F.size(F.filter("lines_", lambda x: x.rlike(BULLET))).cast("long"),
+        "n_ellipses_": F.size(F.filter("lines_", lambda x: x.endswith("...") | x.endswith("…"))).cast("long"),
+        "hashes_": F.transform("words_", lambda x: F.xxhash64(x)),
     }
 
 
+def stop_forms(words=STOP_WORDS) -> list[str]:
+    """A stop word as it stands in text: lower, capitalised or upper case, with one mark behind it or none."""
+    cases = dict.fromkeys(f for w in words for f in (w, w.capitalize(), w.upper()))
+    return [w + mark for w in cases for mark in ("", *".,;:!?")]
+
+
+def _n_stop() -> Column:
+    known = [xxhash.xxh64_intdigest(w, seed=42) for w in stop_forms()]
+    known = [h - (1 << 64) if h >> 63 else h for h in known]
+    return F.size(F.filter("hashes_", lambda h: h.isin(known))).cast("long")
+
+
 def _windows() -> Column:
     """A 64-bit hash for each window of words, in order; none for a text shorter than a window."""
     starts = F.sequence(F.lit(0), F.col("n_words").cast("int") - WINDOW)
@@ -91,24 +102,25 @@ def measure(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     a = docs.select(F.col(id_col), *[c.alias(k) for k, c in _counts(text).items()])
     b = a.select("*", *[c.alias(k) for k, c in _of_arrays().items()]).drop("words_", "lines_")
-    c = b.withColumn("windows_", _windows()).drop("hashes_")
+    c = b.withColumns({"windows_": _windows(), "n_stop_": _n_stop()}).drop("hashes_")
     d = c.withColumn("placed_", _placed("windows_")).drop("windows_")
     same = lambda x, i: F.coalesce(x["h"] == F.get("placed_", i)["h"], F.lit(False))
     twin = F.filter("placed_", lambda x, i: same(x, i + 1) | ((i > 0) & same(x, i - 1)))
     e = d.withColumn("starts_", F.sort_array(F.transform(twin, lambda x: x["i"]))).drop("placed_")
     gains = F.transform("starts_", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("starts_", i + 1) - p, F.lit(WINDOW))))
-    f = e.withColumn("n_repeat_words", F.coalesce(F.aggregate(gains, F.lit(0), lambda x, y: x + y), F.lit(0)).cast("long")).drop("starts_")
+    repeats = F.coalesce(F.aggregate(gains, F.lit(0), lambda x, y: x + y), F.lit(0)).cast("long")
+    # The condition is always true; it keeps the optimiser from copying all of the above into a later filter.
+    f = e.withColumn("n_repeat_words", F.when(F.monotonically_increasing_id() >= 0, repeats)).drop("starts_")
     return f.select(
         "*",
         F.try_divide(100.0 * F.col("n_repeat_words"), F.col("n_words").cast("double")).alias("repeat_percent"),
         ratio("word_chars", "n_words").alias("mean_word_chars"),
         ratio("n_symbols", "word_chars").alias("symbol_ratio"),
-        ratio("n_upper_", "n_letters_").alias("upper_ratio"),
+        ratio("n_upper_", "word_chars").alias("upper_ratio"),
         ratio("n_dup_lines", "n_lines_").alias("dup_line_ratio"),
         ratio("n_bullets_", "n_lines_").alias("bullet_line_ratio"),
         ratio("n_ellipses_", "n_lines_").alias("ellipsis_line_ratio"),
-        ratio("n_alpha_", "n_words").alias("alpha_word_ratio"),
-        ratio("n_stop_", "n_words").alias("stop_word_ratio"),
+        F.when(F.col("n_words") >= STOP_FROM, ratio("n_stop_", "n_words")).alias("stop_word_ratio"),
     )
 
 
@@ -145,17 +157,16 @@ f as (
          cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
          cast(coalesce(rep.n, 0) as bigint) as n_repeat_words,
          len(regexp_extract_all(text, '\p{{L}}')) as letters, len(regexp_extract_all(text, '\p{{Lu}}')) as uppers,
-         len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) as alphas,
-         len(list_filter(words, lambda x: regexp_matches(lower(x), '^(?:{"|".join(STOP_WORDS)})(?:[.,;:!?]|$)'))) as stops,
+         len(list_filter(words, lambda x: list_contains({stop_forms()}, x))) as stops,
          len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•●]'))) as bullets,
          len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) as ellipses
   from base left join rep using (row_id)),
 g as (
   select *, 100.0::double * n_repeat_words / nullif(n_words, 0) as repeat_percent,
          word_chars::double / nullif(n_words, 0) as mean_word_chars, n_symbols::double / nullif(word_chars, 0) as symbol_ratio,
-         uppers::double / nullif(letters, 0) as upper_ratio, n_dup_lines::double / nullif(len(lines), 0) as dup_line_ratio,
+         uppers::double / nullif(word_chars, 0) as upper_ratio, n_dup_lines::double / nullif(len(lines), 0) as dup_line_ratio,
          bullets::double / nullif(len(lines), 0) as bullet_line_ratio, ellipses::double / nullif(len(lines), 0) as ellipsis_line_ratio,
-         alphas::double / nullif(n_words, 0) as alpha_word_ratio, stops::double / nullif(n_words, 0) as stop_word_ratio
+         case when n_words >= {STOP_FROM} then stops::double / n_words end as stop_word_ratio
   from f)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        not ({_sql_rules(BASE_RULES)}) as base_failed, ({_sql_rules(BASE_RULES)}) and ({_sql_rules(RULES)}) as kept
