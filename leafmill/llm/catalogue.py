@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from leafmill.llm import mixing, packing, quality
+from leafmill.llm import mixing, packing, quality, simhash
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
+    "op5_simhash": simhash.op5_simhash,
     "op6_mixing": mixing.op6_mixing,
 }
 ORACLE_SQL = {"op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
