@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from leafmill.llm import mixing, packing, quality, simhash
+from leafmill.llm import langid, mixing, packing, quality, simhash
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
     "op5_simhash": simhash.op5_simhash,
     "op6_mixing": mixing.op6_mixing,
+    "op10_langid": langid.op10_langid,
 }
 ORACLE_SQL = {"op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
