@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from leafmill.llm import langid, mixing, packing, quality, simhash
+from leafmill.llm import langid, mixing, packing, quality, simhash, vectors
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
     "op5_simhash": simhash.op5_simhash,
     "op6_mixing": mixing.op6_mixing,
+    "op9_vectors": vectors.op9_vectors,
     "op10_langid": langid.op10_langid,
 }
-ORACLE_SQL = {"op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
+ORACLE_SQL = {"op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op9_vectors": vectors.OP9_SQL}
