@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from leafmill.llm import langid, mixing, packing, quality, simhash, vectors
+from leafmill.llm import langid, mixing, packing, quality, simhash, substring, vectors
 
 QUERIES = {
+    "op1_substring": substring.op1_substring,
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
     "op5_simhash": simhash.op5_simhash,
@@ -12,4 +13,4 @@ QUERIES = {
     "op9_vectors": vectors.op9_vectors,
     "op10_langid": langid.op10_langid,
 }
-ORACLE_SQL = {"op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op9_vectors": vectors.OP9_SQL}
+ORACLE_SQL = {"op1_substring": substring.OP1_SQL, "op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op9_vectors": vectors.OP9_SQL}
