@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from leafmill.llm import langid, mixing, packing, quality, simhash, substring, vectors
+from leafmill.llm import classifier, langid, mixing, packing, quality, simhash, substring, tokens, vectors
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
+    "op4_tokens": tokens.op4_tokens,
     "op5_simhash": simhash.op5_simhash,
     "op6_mixing": mixing.op6_mixing,
+    "op8_classifier": classifier.op8_classifier,
     "op9_vectors": vectors.op9_vectors,
     "op10_langid": langid.op10_langid,
 }
