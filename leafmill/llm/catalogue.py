@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafmill.llm import classifier, langid, mixing, packing, quality, simhash, substring, tokens, vectors
+from leafmill.llm import classifier, html, langid, mixing, packing, quality, simhash, substring, tokens, vectors
 
 QUERIES = {
     "op1_substring": substring.op1_substring,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_tokens": tokens.op4_tokens,
     "op5_simhash": simhash.op5_simhash,
     "op6_mixing": mixing.op6_mixing,
+    "op7_html": html.op7_html,
     "op8_classifier": classifier.op8_classifier,
     "op9_vectors": vectors.op9_vectors,
     "op10_langid": langid.op10_langid,
