@@ -30,7 +30,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST_EPOCHS)
 
     The targets share the sum of all sizes by weight; a target stops at `most` times its source's size and the
     excess goes to the others by weight until none is above. In order of most*size/weight the sources that stop
-    are a prefix, so one running sum finds the level; the windows hold one row for each source."""
+    are a prefix, so one running sum finds the level: it rises along that prefix, and behind it, where sources that do
+    not stop are counted as if they did, it falls. The windows hold one row for each source."""
     order = Window.orderBy(F.col("source").isNull(), "source")
     sized = sizes.withColumn("source_rank", F.row_number().over(order) - 1)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("source_rank") % len(weights) + 1).cast("int"))
@@ -46,7 +47,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST_EPOCHS)
         .withColumn("weights_before_", F.coalesce(F.sum("w_").over(before), F.lit(0.0)))
         .withColumn("level_", (F.col("total_") - F.col("limits_before_")) / (F.col("weights_") - F.col("weights_before_")))
         .withColumn("free_", F.col("level_") * F.col("w_") <= F.col("limit_"))
-        .withColumn("water_", F.min(F.when(F.col("free_"), F.col("level_"))).over(everything))
+        .withColumn("water_", F.max(F.when(F.col("free_"), F.col("level_"))).over(everything))
     )
     target = F.when(F.col("free_") & F.col("water_").isNotNull(), F.col("water_") * F.col("w_")).otherwise(F.col("limit_"))
     return levels.select("source", "source_size", "source_rank", target.alias("target"))
@@ -116,7 +117,7 @@ l as (
 f as (select *, level * w <= lim as free from l),
 t as (
   select source, cast(source_size as bigint) as source_size,
-         case when free and (min(level) filter (free) over ()) is not null then (min(level) filter (free) over ()) * w else lim end as target
+         case when free and (max(level) filter (free) over ()) is not null then (max(level) filter (free) over ()) * w else lim end as target
   from f),
 p as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as rounds from t),
 q as (select *, greatest(target - rounds * source_size, 0) as budget from p),
