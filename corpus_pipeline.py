@@ -1,3 +1,75 @@
-STAGES = []
+"""The training-data pipeline: five stages over documents, each written and read again before the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.llm import langid, mixing, packing, simhash, substring
+from leafmill.llm.common import materialise
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A text whose best language has less than this of the fair share of evidence is rejected as no language.
+LEAST_SCORE = 0.35
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter or without a likely language; a null lang becomes the predicted one."""
+    model = langid.train(docs)
+    found = langid.predict(docs, model, list(COLUMNS)).filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of each group of near duplicates, once; rows of null id are kept."""
+    found = simhash.near_duplicates(docs)
+    keep = found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component"))).select("doc_id").distinct()
+    known = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi")
+    # Several rows of one id: the least text stays, found by a sum of each id's rows that is formed before they move.
+    least = known.groupBy("doc_id").agg(F.min(F.xxhash64("text", "lang", "source", "n_chars")).alias("least_"), F.count("*").alias("rows_"))
+    twice = materialise(least.filter("rows_ > 1").select("doc_id", "least_"))
+    if not twice.limit(1).count():
+        return known.select(*COLUMNS).unionAll(docs.filter("doc_id is null").select(*COLUMNS))
+    single = known.join(twice, "doc_id", "left_anti").select(*COLUMNS)
+    chosen = known.join(twice, "doc_id").filter(F.xxhash64("text", "lang", "source", "n_chars") == F.col("least_")).select(*COLUMNS).distinct()
+    return single.unionAll(chosen).unionAll(docs.filter("doc_id is null").select(*COLUMNS))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages of 50 words and more that an earlier document has; a document of which nothing is left goes."""
+    found = substring.deduplicate(docs, columns=("lang", "source", "n_chars"), layout="original")
+    changed = F.col("n_removed") > 0
+    left = found.filter(~changed | (F.col("n_removed") < F.col("n_words")))
+    return left.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    taken = mixing.mix(docs).select("doc_id", "source", "epochs").filter("epochs > 0").groupBy("doc_id", "source").agg(F.max("epochs").alias("epochs_"))
+    taken = taken.select(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), "epochs_")
+    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("source").eqNullSafe(F.col("source_")))
+    return met.withColumn("again_", F.explode(F.sequence(F.lit(1), "epochs_"))).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language identification", identify),
+    ("near duplicates", one_of_each_group),
+    ("repeated passages", without_repeats),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+
+#: SQL has no form of the language model and the optimal buckets; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to documents, one after the other."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
