@@ -38,7 +38,7 @@ def corpus(n=60, seed=1):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [1, 3, 64])
+@pytest.mark.parametrize("crowd", [1, 3, 4096])
 def test_against_brute_force(spark, crowd):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as mini", "'x' as spans", "2 as id", "3 as tag").repartition(5)
