@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from leafmill.plans import orders, quotas
+
+_PARTS = (quotas, orders)
+QUERIES: dict = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+#: A query without SQL (None) is tested against a brute-force version.
+ORACLE_SQL: dict = {k: v for part in _PARTS for k, v in part.SQL.items() if v}
