@@ -22,8 +22,9 @@ from leafmill.llm.common import materialise, table
 
 WINDOW = 50
 GRAM = 8
-#: A minimiser with more distinct super-k-mers than this has its windows sent one by one, as 128-bit digests.
-CROWD = 64
+#: A bucket of so many distinct super-k-mers (2 MB or so) is one unit of work. A minimiser with more has its windows
+#: sent one by one, as 128-bit digests, which costs several times the bytes but leaves no bucket to a single task.
+CROWD = 4096
 #: Words handled as one array.
 SLICE = 500_000
 CACHE = 1_000_000
@@ -201,27 +202,29 @@ def first_owners(strings: list[bytes], owners: np.ndarray, window: int = WINDOW)
 
 
 def _count(window: int):
-    """(mini, digest, owner, packed) sorted by mini -> for each super-k-mer its stretches of windows with the same
-    first owner. Buckets are handled whole, many at a time."""
+    """(mini, digest, owner, packed) sorted by mini -> for each super-k-mer the stretches of windows that an
+    earlier owner has as well. Buckets are handled whole, many at a time."""
 
     def flush(batch: pa.Table) -> pa.RecordBatch:
         owners = batch.column("owner").to_numpy(zero_copy_only=False)
         of, inside, first = first_owners(batch.column("packed").to_pylist(), owners, window)
+        early = first < owners[of]
+        of, inside = of[early], inside[early]
         new = np.ones(len(of), dtype=bool)
-        new[1:] = (of[1:] != of[:-1]) | (first[1:] != first[:-1])
+        new[1:] = (of[1:] != of[:-1]) | (inside[1:] != inside[:-1] + 1)
         start = np.nonzero(new)[0]
-        end = np.concatenate([start[1:], [len(of)]]) - 1
+        end = np.concatenate([start[1:], [len(of)]]) - 1 if len(of) else start
         row = pa.array(of[start])
         return pa.RecordBatch.from_arrays(
-            [batch.column("mini").combine_chunks().take(row), batch.column("digest").combine_chunks().take(row), pa.array(inside[start].astype(np.int32)), pa.array((inside[end] + 1).astype(np.int32)), pa.array(first[start])],
-            names=["mini", "digest", "a", "b", "first"],
+            [batch.column("mini").combine_chunks().take(row), batch.column("digest").combine_chunks().take(row), pa.array(inside[start].astype(np.int32)), pa.array((inside[end] + 1).astype(np.int32))],
+            names=["mini", "digest", "a", "b"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            while held.num_rows > 4 * CROWD and (held.num_rows >= 8192 or held.nbytes >= 4_000_000):
+            while held.num_rows > 2 * CROWD and (held.num_rows >= 4 * CROWD or held.nbytes >= 4_000_000):
                 minis = held.column("mini").to_numpy()
                 most = min(held.num_rows, 4096)
                 cut = int(np.searchsorted(minis, minis[most - 1], side="left")) or int(np.searchsorted(minis, minis[0], side="right"))
@@ -306,18 +309,22 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     strings = sent.filter("packed is not null").select("mini", "digest", "owner", "packed").repartition(parts, "mini").sortWithinPartitions("mini")
-    usual = strings.mapInArrow(_count(window), "mini long, digest long, a int, b int, first long")
-    single = sent.filter("packed is null").select("mini", "digest", "owner", "off", "w1", "w2")
-    least = single.groupBy("w1", "w2").agg(F.min("owner").alias("first"))
-    crowded = single.join(least, ["w1", "w2"]).select("mini", "digest", F.col("off").alias("a"), (F.col("off") + 1).alias("b"), "first")
-    whole = shared.filter("kinds = 1").select("mini", "digest", F.lit(0).alias("a"), F.lit((1 << 31) - 1).alias("b"), F.col("owner").alias("first"))
-    stretches = usual.unionAll(crowded).groupBy("mini", "digest").agg(F.collect_list(F.struct("a", "b", "first")).alias("parts"))
-    found = materialise(stretches.unionAll(whole.select("mini", "digest", F.array(F.struct("a", "b", "first")).alias("parts"))))
-
+    usual = strings.mapInArrow(_count(window), "mini long, digest long, a int, b int")
+    single = sent.filter("packed is null").select("mini", "digest", "owner", "off", F.col("w1"), F.col("w2"))
+    least = single.groupBy(F.col("w1").alias("v1"), F.col("w2").alias("v2")).agg(F.min("owner").alias("first"))
+    early = single.join(least, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & (F.col("first") < F.col("owner")))
+    crowded = early.select("mini", "digest", F.col("off").alias("a"), (F.col("off") + 1).alias("b"))
+    stretches = usual.unionAll(crowded).groupBy("mini", "digest").agg(F.collect_list(F.struct("a", "b")).alias("parts"))
+    found = materialise(shared.select("mini", "digest", "owner").join(stretches, ["mini", "digest"], "left"))
+
+    # Whoever comes after the owner of a super-k-mer loses all of it; the owner loses what earlier owners have.
+    hit = (F.col("id") > F.col("owner")) | ((F.col("id") == F.col("owner")) & F.col("parts").isNotNull())
+    here = found.select(F.col("mini").alias("m_"), F.col("digest").alias("d_"), "owner", "parts")
+    hits = seen.join(here, (F.col("mini") == F.col("m_")) & (F.col("digest") == F.col("d_")) & hit)
     # A stretch of windows as one number: first window in the high half, the one after the last in the low half.
-    code = lambda x: F.shiftleft((F.col("pos") + x["a"]).cast("long"), 32) + F.col("pos") + F.least(x["b"], F.col("n"))
-    hits = seen.join(found, ["mini", "digest"]).withColumn("hits", F.filter("parts", lambda x: x["first"] < F.col("id"))).filter(F.size("hits") > 0)
-    spans = hits.select("id", "tag", F.transform("hits", code).alias("codes")).groupBy("id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("spans"))
+    code = lambda a, b: F.shiftleft((F.col("pos") + a).cast("long"), 32) + F.col("pos") + b
+    codes = F.when(F.col("id") > F.col("owner"), F.array(code(F.lit(0), F.col("n")))).otherwise(F.transform("parts", lambda x: code(x["a"], x["b"])))
+    spans = hits.select("id", "tag", codes.alias("codes")).groupBy("id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("spans"))
     joined = base.join(spans, ["id", "tag"], "left").select("id", *[f"c{i}_" for i in range(len(columns))], "text", "spans")
     names = [id_col, *columns, text_col, "n_words", "n_removed"]
     kinds = dict(docs.dtypes)
