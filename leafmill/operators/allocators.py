@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranking import hash_bucket, running_over_all
+
 
 def _window(by: Sequence[str]) -> Window:
     return Window.partitionBy(*by)
@@ -173,6 +175,10 @@ def cells(factors: Sequence[DataFrame], probability: str = "p") -> DataFrame:
     return out.withColumn(probability, product).drop(*[f"p{i}_" for i in range(len(factors))])
 
 
-def main_effects(n: Column, salt: str, key: Column, levels: int) -> Column:
-    """Level of a row in a design in which each level comes equally often: place in a salted order modulo levels."""
-    return F.pmod(F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit(salt), key.cast("string"))), key)) - 1, F.lit(levels)).cast("int")
+def main_effects(df: DataFrame, key: str, factors: dict[str, int]) -> DataFrame:
+    """A level column for each factor, every level equally often: place in an order salted by the factor's name modulo
+    its number of levels. Orders are hashed, so places are counted bucket by bucket, not in one task."""
+    for name, levels in factors.items():
+        mark = F.md5(F.concat(F.lit(name), F.col(key).cast("string")))
+        df = running_over_all(df, hash_bucket(mark), [mark, F.col(key)], out="at_").withColumn(name, F.pmod(F.col("at_") - 1, F.lit(levels)).cast("int")).drop("at_")
+    return df

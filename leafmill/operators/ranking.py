@@ -30,6 +30,40 @@ def fair_blocks(df: DataFrame, host: str, key: str, block: int = 4) -> DataFrame
     return df.withColumn("block", F.floor(at / block).cast("int")).withColumn("host_hash", F.md5(host)).withColumn("key_hash", F.md5(key))
 
 
+def value_bucket(df: DataFrame, column: str, buckets: int = 1024) -> Column:
+    """A number that grows with a numeric column and cuts the rows about evenly: places among approximate quantiles."""
+    edges = df.agg(F.percentile_approx(column, [i / buckets for i in range(1, buckets)], 10_000).alias("e")).first().e
+    edges = F.lit(sorted(set(edges or [])))
+    return F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(column))), F.lit(-1))
+
+
+def hash_bucket(hexed: Column) -> Column:
+    """The same for hex digests: their first three digits."""
+    return F.substring(hexed, 1, 3)
+
+
+def running_over_all(df: DataFrame, bucket: Column, order: Sequence, value: Column | None = None, out: str = "running") -> DataFrame:
+    """Running sum of value (row number if none) over the whole table in an order that begins with the bucket.
+
+    Rows are only sorted inside their bucket, in parallel; the sums of the buckets, a few thousand rows, give each
+    bucket its start. No task sees the whole table."""
+    rows = df.withColumn("bucket_", bucket).withColumn("value_", F.lit(1).cast("long") if value is None else value)
+    sums = rows.groupBy("bucket_").agg(F.sum("value_").alias("sum_"))
+    before = Window.orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("bucket_", F.coalesce(F.sum("sum_").over(before), F.lit(0)).alias("start_"))
+    own = F.sum("value_").over(Window.partitionBy("bucket_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(F.broadcast(starts), "bucket_").withColumn(out, F.col("start_") + own).drop("bucket_", "value_", "start_")
+
+
+def percentile_rank_over_all(df: DataFrame, column: str, out: str = "pct") -> DataFrame:
+    """percentile_rank over a whole table: ranks come from counts of the different values, joined back."""
+    counts = df.groupBy(column).agg(F.count("*").alias("n_"))
+    ranked = running_over_all(counts, value_bucket(counts, column), [column], F.col("n_"), "upto_")
+    total = df.agg(F.count("*").alias("t_"))
+    places = ranked.crossJoin(F.broadcast(total)).select(F.col(column).alias("v_"), ((F.col("upto_") - F.col("n_") + 1 + (F.col("n_") - 1) / 2) / F.col("t_")).alias(out))
+    return df.join(places, F.col(column).eqNullSafe(F.col("v_"))).drop("v_")
+
+
 def percentile_rank(of: Column, by: Sequence[str] = ()) -> Column:
     """Average rank over the number of rows: ties share the mean of their places."""
     w = Window.partitionBy(*by)

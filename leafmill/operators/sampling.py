@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranking import hash_bucket, running_over_all, value_bucket
+
 
 def hashed(key: Column, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(seed), key.cast("string")))
@@ -31,14 +33,13 @@ def sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     return df.orderBy(hashed(F.col(key), seed), key).limit(n)
 
 
-def systematic(df: DataFrame, mass: Column, order: Sequence, u: float) -> DataFrame:
+def systematic(df: DataFrame, mass: Column, order: str, u: float) -> DataFrame:
     """Systematic sampling with inclusion probability min(mass, 1): a row is taken where a point u, u+1, ... falls into
-    its stretch of the running sum."""
-    w = Window.orderBy(*order)
-    m = F.least(mass, F.lit(1.0))
-    cum = F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    before = F.coalesce(F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return df.withColumn("taken", F.floor(cum - u) > F.floor(before - u))
+    its stretch of the running sum over the order of a numeric column."""
+    rows = df.withColumn("mass_", F.least(mass, F.lit(1.0)))
+    summed = running_over_all(rows, value_bucket(df, order), [order], F.col("mass_"), "cum_")
+    cum = F.round(F.col("cum_") - u, 9)
+    return summed.withColumn("taken", F.floor(cum) > F.floor(F.round(cum - F.col("mass_"), 9))).drop("mass_", "cum_")
 
 
 def evenly_spaced(values: Column, k: int) -> Column:
@@ -57,10 +58,10 @@ def budget(pages: Column, base: int = 10, least: int = 50, share: float = 0.1, s
 
 def fraction_split(df: DataFrame, key: str, test: float, val: float, seed: str) -> DataFrame:
     """round(n*test) rows of the hashed order are test, the next round(n*val) val, the others train."""
-    w = Window.orderBy(*shuffle_order(key, seed))
-    n = F.count("*").over(Window.partitionBy())
-    at, a, b = F.row_number().over(w), F.bround(n * test, 0), F.bround(n * val, 0)
-    return df.withColumn("part", F.when(at <= a, "test").when(at <= a + b, "val").otherwise("train"))
+    at = running_over_all(df, hash_bucket(hashed(F.col(key), seed)), shuffle_order(key, seed), out="at_")
+    rows = at.crossJoin(F.broadcast(df.agg(F.count("*").alias("n_"))))
+    a, b = F.bround(F.col("n_") * test, 0), F.bround(F.col("n_") * val, 0)
+    return rows.withColumn("part", F.when(F.col("at_") <= a, "test").when(F.col("at_") <= a + b, "val").otherwise("train")).drop("at_", "n_")
 
 
 def group_split(df: DataFrame, group: str, val: float, test: float, seed: str) -> DataFrame:
@@ -91,6 +92,6 @@ def oversampled(df: DataFrame, strata: Sequence[str], key: str, need: Column, fa
 
 
 def least_confident(df: DataFrame, confidence: str, key: str, share: float) -> DataFrame:
-    """floor(share*n) rows of least (confidence, key)."""
-    at = F.row_number().over(Window.orderBy(confidence, key))
-    return df.withColumn("review", at <= F.floor(share * F.count("*").over(Window.partitionBy())))
+    """Marks floor(share*n) rows of least (confidence, key)."""
+    at = running_over_all(df, value_bucket(df, confidence), [confidence, key], out="at_").crossJoin(F.broadcast(df.agg(F.count("*").alias("n_"))))
+    return at.withColumn("review", F.col("at_") <= F.floor(share * F.col("n_"))).drop("at_", "n_")

@@ -50,7 +50,7 @@ def best_n_per_group(spark, d):
 
 @query("pct_rank_avg", "select p_partkey, (rank() over (order by p_size) + (count(*) over (partition by p_size) - 1) / 2.0::double) / count(*) over () as pct from part")
 def pct_rank_avg(spark, d):
-    return read(spark, d, "part").select("p_partkey", r.percentile_rank(F.col("p_size")).alias("pct"))
+    return r.percentile_rank_over_all(read(spark, d, "part").select("p_partkey", "p_size"), "p_size").select("p_partkey", "pct")
 
 
 @query("rank_desc_first", "select s_suppkey, row_number() over (partition by s_nationkey order by s_acctbal desc, s_suppkey) as place from supplier")
@@ -131,18 +131,17 @@ def sample_without_replacement(spark, d):
 
 @query("shuffle_keep_together", "select conv_id, turn, cast(dense_rank() over (order by md5('s' || conv_id::varchar), conv_id) as bigint) as place from conversations")
 def shuffle_keep_together(spark, d):
-    from pyspark.sql import Window
-
     c = read(spark, d, "conversations")
-    order = c.select("conv_id").distinct().withColumn("place", F.row_number().over(Window.orderBy(*s.shuffle_order("conv_id", "s"))).cast("long"))
+    keys = c.select("conv_id").distinct()
+    order = r.running_over_all(keys, r.hash_bucket(s.hashed(F.col("conv_id"), "s")), s.shuffle_order("conv_id", "s"), out="place")
     return c.join(order, "conv_id").select("conv_id", "turn", "place")
 
 
 @query("pps_systematic", """
 with c as (select doc_id, sum(least(n_chars / 20000.0::double, 1.0)) over (order by doc_id rows unbounded preceding) as c, least(n_chars / 20000.0::double, 1.0) as m from documents)
-select doc_id, floor(round(c - 0.37, 6)) > floor(round(c - m - 0.37, 6)) as taken from c""")
+select doc_id, floor(round(c - 0.37, 9)) > floor(round(round(c - 0.37, 9) - m, 9)) as taken from c""")
 def pps_systematic(spark, d):
-    return s.systematic(read(spark, d, "documents"), F.col("n_chars") / F.lit(20000.0), ["doc_id"], 0.37).select("doc_id", "taken")
+    return s.systematic(read(spark, d, "documents"), F.col("n_chars") / F.lit(20000.0), "doc_id", 0.37).select("doc_id", "taken")
 
 
 @query("evenly_spaced_pick", """

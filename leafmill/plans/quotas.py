@@ -224,6 +224,5 @@ def factor_cells(spark, d):
 with p as (select doc_id, (row_number() over (order by md5('paper' || doc_id::varchar), doc_id) - 1) % 4 as paper, (row_number() over (order by md5('light' || doc_id::varchar), doc_id) - 1) % 3 as light from documents)
 select cast(paper as integer) as paper, cast(light as integer) as light, count(*) as n from p group by 1, 2""")
 def stratified_plan_marginals(spark, d):
-    docs = read(spark, d, "documents").select("doc_id")
-    plan = docs.select(a.main_effects(F.count("*"), "paper", F.col("doc_id"), 4).alias("paper"), a.main_effects(F.count("*"), "light", F.col("doc_id"), 3).alias("light"))
+    plan = a.main_effects(read(spark, d, "documents").select("doc_id"), "doc_id", {"paper": 4, "light": 3})
     return plan.groupBy("paper", "light").agg(F.count("*").alias("n"))
