@@ -217,3 +217,80 @@ def one_per_document(df: DataFrame, document: str, order: Sequence, cls: Sequenc
     w = Window.partitionBy(document).orderBy(*order)
     best = df.withColumn("r_", F.row_number().over(w)).filter("r_ = 1")
     return best.withColumn("r_", F.row_number().over(Window.partitionBy(*cls).orderBy(*order))).filter(F.col("r_") <= n).drop("r_")
+
+
+def fused(df: DataFrame, parts: Sequence[tuple[str, float]], out: str = "fused") -> DataFrame:
+    """Several vectors of a row as one: each centred on its mean over all rows, weighted, one after the other."""
+    from leafmill.operators.evidence import mean_vector
+
+    centred = lambda weight: lambda x, m: (x.cast("double") - m) * weight
+    for i, (c, weight) in enumerate(parts):
+        mean = mean_vector(df.withColumn("all_", F.lit(0)), ["all_"], c).select(F.col("mean").alias(f"m{i}_"))
+        df = df.crossJoin(F.broadcast(mean)).withColumn(f"f{i}_", F.zip_with(F.col(c), F.col(f"m{i}_"), centred(weight))).drop(f"m{i}_")
+    names = [f"f{i}_" for i in range(len(parts))]
+    return df.withColumn(out, F.concat(*names)).drop(*names)
+
+
+def text_scores(df: DataFrame, id_col: str, vector: str, texts: DataFrame, name: str, text_vector: str) -> DataFrame:
+    """(id, name, score): cosine of the first half of each row's vector with each text vector. texts is a short list."""
+    from leafmill.operators.joins import cosine
+
+    half = F.slice(F.col(vector), F.lit(1), (F.size(vector) / 2).cast("int"))
+    return df.select(id_col, half.alias("h_")).crossJoin(F.broadcast(texts.select(name, F.col(text_vector).alias("t_")))).select(id_col, name, cosine(F.col("h_"), F.col("t_")).alias("score"))
+
+
+def neighbour_agreement(a: DataFrame, b: DataFrame, id_col: str, vector: str, k: int = 10) -> DataFrame:
+    """Mean share of each row's k neighbours in one space that are neighbours in the other."""
+    lists = lambda d, c: k_nearest(d, d, id_col, vector, k).groupBy("src").agg(F.collect_set("dst").alias(c))
+    return lists(a, "x").join(lists(b, "y"), "src").agg(F.avg(F.size(F.array_intersect("x", "y")) / k).alias("agreement"))
+
+
+def border_by_direction(df: DataFrame, id_col: str, vector: str, directions: int, low: float = 0.005) -> DataFrame:
+    """(direction, side, id): for each principal direction the rows nearest its low and high projection quantiles."""
+    from leafmill.operators.learned import apply_matrix, principal_axes
+
+    mean, axes = principal_axes(df, vector, directions)
+    long = apply_matrix(df.select(id_col, vector), vector, axes, mean, "p_").select(id_col, F.posexplode("p_").alias("direction", "x"))
+    cuts = long.groupBy("direction").agg(F.percentile("x", F.lit(low)).alias("low"), F.percentile("x", F.lit(1 - low)).alias("high"))
+    met = long.join(F.broadcast(cuts), "direction")
+    pick = lambda side: F.min_by(id_col, F.struct(F.abs(F.col("x") - F.col(side)), id_col)).alias(side)
+    return met.groupBy("direction").agg(pick("low"), pick("high")).select("direction", F.explode(F.create_map(F.lit("low"), "low", F.lit("high"), "high")).alias("side", id_col))
+
+
+def prune_by_density(df: DataFrame, id_col: str, vector: str, n: int, k: int, temperature: float = 0.1, seed: int = 0) -> DataFrame:
+    """Rows kept of k clusters: quota by softmax of (distance between centres x spread inside) under each cluster's size,
+    the farthest from the centre first."""
+    from leafmill.operators.allocators import softmax_quota
+    from leafmill.operators.joins import cosine
+
+    rows, model = cluster(df, vector, k, seed)
+    centres = np.array([c for c in model.clusterCenters()])
+    unit = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
+    inter = np.sort(1 - unit @ unit.T, axis=1)[:, 1:2].mean(axis=1) if k > 1 else np.ones(k)
+    table = df.sparkSession.createDataFrame([(i, [float(v) for v in c], float(x)) for i, (c, x) in enumerate(zip(centres, inter, strict=True))], "cluster int, centre array<double>, inter double")
+    far = rows.join(F.broadcast(table), "cluster").withColumn("d_", F.round(1 - cosine(F.col(vector), F.col("centre")), 12))
+    groups = far.groupBy("cluster").agg((F.first("inter") * F.avg("d_") / temperature).alias("score"), F.count("*").alias("size"))
+    quota = softmax_quota(groups, "score", "size", n, ["cluster"]).select("cluster", "quota")
+    placed = far.join(F.broadcast(quota), "cluster").withColumn("r_", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("d_"), id_col)))
+    return placed.filter(F.col("r_") <= F.col("quota")).select(id_col, "cluster")
+
+
+def hierarchical_sample(df: DataFrame, id_col: str, vector: str, n: int, fine: int, coarse: int, seed: int = 0) -> DataFrame:
+    """n rows spread evenly over coarse clusters of fine clusters: water levels from the top down, hashed order inside."""
+    from leafmill.operators.allocators import water_level
+
+    rows, model = cluster(df, vector, fine, seed)
+    tops = df.sparkSession.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], "leaf int, centre array<double>")
+    above, _ = cluster(tops, "centre", min(coarse, fine), seed)
+    placed = rows.withColumnRenamed("cluster", "leaf").join(F.broadcast(above.select("leaf", F.col("cluster").alias("top"))), "leaf")
+    leaves = placed.groupBy("top", "leaf").agg(F.count("*").alias("n"))
+    top = water_level(leaves.groupBy("top").agg(F.sum("n").alias("s")), "s", F.lit(n), ["top"], out="tq").select("top", "tq")
+    quota = water_level(leaves.join(top, "top"), "n", F.col("tq"), ["leaf"], by=["top"]).select("leaf", "quota")
+    at = F.row_number().over(Window.partitionBy("leaf").orderBy(F.md5(F.col(id_col).cast("string")), id_col))
+    return placed.join(F.broadcast(quota), "leaf").withColumn("r_", at).filter(F.col("r_") <= F.col("quota")).select(id_col, "top", "leaf")
+
+
+def landings(new: DataFrame, points: DataFrame, id_col: str, vector: str, radius: float) -> DataFrame:
+    """(src, dst, distance): each new row on its nearest open point within the radius, one row for each point."""
+    near = nearest(new, points, id_col, vector, drop_self=False).withColumn("distance", F.round(1 - F.col("similarity"), 12)).filter(F.col("distance") <= radius)
+    return near.withColumn("r_", F.row_number().over(Window.partitionBy("dst").orderBy("distance", "src"))).filter("r_ = 1").select("src", "dst", "distance")
