@@ -139,6 +139,11 @@ def test_blocks():
     assert html.blocks(PAGE.format("<p class=notice>n<p>x<aside>s</aside>")) == [(html.OPEN, "x")]
 
 
+def test_attributes_are_read_by_name():
+    page = PAGE.format("<article><p style='overflow:hidden' title=\"id of a menu\">x</p><p hidden>y</p><div aria-hidden=true>z</div><figure><figcaption data-role=menu>cap</figcaption></figure></article>")
+    assert html.blocks(page) == [(html.MAIN, "x"), (html.MAIN, "cap")]
+
+
 def brute_repeated(streams, n, pages):
     where = {}
     for s in streams:
