@@ -22,17 +22,17 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group of near duplicates, once; rows of null id are kept."""
-    found = simhash.near_duplicates(docs)
-    keep = found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component"))).select("doc_id").distinct()
-    known = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi")
-    # Several rows of one id: the least text stays, found by a sum of each id's rows that is formed before they move.
-    least = known.groupBy("doc_id").agg(F.min(F.xxhash64("text", "lang", "source", "n_chars")).alias("least_"), F.count("*").alias("rows_"))
-    twice = materialise(least.filter("rows_ > 1").select("doc_id", "least_"))
+    found = materialise(simhash.near_duplicates(docs).filter("doc_id is not null"))
+    keep = found.filter(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
+    known = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").select(*COLUMNS)
+    rest = docs.filter("doc_id is null").select(*COLUMNS)
+    twice = materialise(found.groupBy("doc_id").agg(F.count("*").alias("rows_")).filter("rows_ > 1").select("doc_id"))
     if not twice.limit(1).count():
-        return known.select(*COLUMNS).unionAll(docs.filter("doc_id is null").select(*COLUMNS))
-    single = known.join(twice, "doc_id", "left_anti").select(*COLUMNS)
-    chosen = known.join(twice, "doc_id").filter(F.xxhash64("text", "lang", "source", "n_chars") == F.col("least_")).select(*COLUMNS).distinct()
-    return single.unionAll(chosen).unionAll(docs.filter("doc_id is null").select(*COLUMNS))
+        return known.unionAll(rest)
+    # Several rows of one id: one of them stays, the one of least hash; equal rows are one.
+    many = known.join(twice, "doc_id", "left_semi").withColumn("mark_", F.xxhash64("text", "lang", "source", "n_chars"))
+    least = many.groupBy("doc_id").agg(F.min("mark_").alias("mark_"))
+    return known.join(twice, "doc_id", "left_anti").unionAll(many.join(least, ["doc_id", "mark_"], "left_semi").select(*COLUMNS).distinct()).unionAll(rest)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

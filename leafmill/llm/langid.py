@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,26 +48,27 @@ class LanguageModel:
     """languages, and by level (0 words, n for n-grams) the grams and their log frequency in each language."""
 
     languages: list[str]
-    levels: list[tuple[list[str], np.ndarray]] = field(default_factory=list)
+    levels: list[tuple[pa.Array, np.ndarray]] = field(default_factory=list)
 
     @classmethod
-    def of_counts(cls, rows) -> LanguageModel:
-        """rows of (lang, level, gram, n)."""
-        languages = sorted({r[0] for r in rows})
-        at = {x: i for i, x in enumerate(languages)}
+    def of_counts(cls, counts: pa.Table) -> LanguageModel:
+        """counts: columns lang, level, gram, n. Columns are read as arrays; no row becomes a Python object."""
+        languages = sorted(pc.unique(counts.column("lang")).to_pylist())
         levels = []
         for level in range(LONGEST + 1):
-            mine = [r for r in rows if r[1] == level]
-            grams = {g: i for i, g in enumerate(dict.fromkeys(r[2] for r in mine))}
-            counts = np.full((len(grams), len(languages)), SMOOTHING)
-            for lang, _, gram, n in mine:
-                counts[grams[gram], at[lang]] += n
-            levels.append((list(grams), np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32) if len(grams) else counts.astype(np.float32)))
+            mine = counts.filter(pc.equal(counts.column("level"), level))
+            coded = mine.column("gram").combine_chunks().dictionary_encode()
+            table = np.full((len(coded.dictionary), len(languages)), SMOOTHING, dtype=np.float32)
+            lang = pc.index_in(mine.column("lang"), pa.array(languages, pa.string())).to_numpy()
+            table[coded.indices.to_numpy(), lang] += mine.column("n").to_numpy()
+            if len(table):
+                table = np.log(table / table.sum(axis=0, keepdims=True, dtype=np.float64)).astype(np.float32)
+            levels.append((coded.dictionary, table))
         return cls(languages, levels)
 
     def scorer(self):
         """A function text -> (language, score), with a cache of words that stays bounded."""
-        tables = [dict(zip(grams, range(len(grams)), strict=True)) for grams, _ in self.levels]
+        tables = [dict(zip(grams.to_pylist(), range(len(grams)), strict=True)) for grams, _ in self.levels]
         rows = [m for _, m in self.levels]
         flat = np.zeros(len(self.languages), dtype=np.float32)
 
@@ -140,7 +142,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = usable.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, level int, gram string, n long").groupBy("lang", "level", "gram").agg(F.sum("n").alias("n"))
     often = materialise(counts).filter(F.col("n") >= LEAST_COUNT)
-    return LanguageModel.of_counts([tuple(r) for r in often.toArrow().to_pandas().itertuples(index=False)])
+    return LanguageModel.of_counts(often.toArrow())
 
 
 def predict(docs: DataFrame, model: LanguageModel, columns: list[str], text_col: str = "text") -> DataFrame:

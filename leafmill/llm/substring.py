@@ -29,7 +29,7 @@ CROWD = 4096
 SLICE = 500_000
 CACHE = 1_000_000
 #: Bits of the filter of ids whose text is needed in the second pass; a full filter lets every text through.
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 22
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -271,19 +271,13 @@ def _finish(window: int, layout: str, names: list[str]):
     return run
 
 
-def _id_filter(ids: DataFrame) -> F.Column:
-    """A condition that holds for all ids of the table and, while it is small, for few others; at most 1 MB."""
-    slots = FILTER_BITS // 64
+def _with_id_in(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """All texts whose id is in `ids` and, while that is small, few others: a bit for each hash of an id, held in at most
+    FILTER_BITS / 64 rows, which bounds what is broadcast. Texts that fail here need not be shuffled."""
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    found = ids.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits"))
-    words = np.zeros(slots, dtype=np.int64)
-    rows = found.toArrow()
-    words[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
-    lines = np.unpackbits(words.view(np.uint8), bitorder="little")
-    packed = np.packbits(lines, bitorder="big").tobytes()
-    # One byte of the filter as two hex digits; bit 7 is the first of the eight.
-    byte = F.conv(F.hex(F.substring(F.lit(bytearray(packed)), (F.floor(slot / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (7 - slot % 8).cast("int")).bitwiseAND(1) == 1
+    found = ids.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w_")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits_"))
+    met = texts.join(F.broadcast(found), F.floor(slot / 64).cast("int") == F.col("w_"))
+    return met.filter(F.call_function("shiftright", F.col("bits_"), (slot % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1).drop("w_", "bits_")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = (), window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, layout: str = "words") -> DataFrame:
@@ -304,7 +298,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     asked = shared.filter("kinds > 1").groupBy(F.col("owner").alias("id")).agg(F.collect_list(F.when(F.col("kinds") <= crowd, F.col("digest"))).alias("usual"), F.collect_list(F.when(F.col("kinds") > crowd, F.col("digest"))).alias("crowded"))
     asked = materialise(asked)
-    texts = known.filter(_id_filter(asked)).select("id", "text").join(asked, "id").select("id", "usual", "crowded", "text")
+    texts = _with_id_in(known.select("id", "text"), asked).join(asked, "id").select("id", "usual", "crowded", "text")
     sent = materialise(texts.mapInArrow(_packed(window, gram), "mini long, digest long, owner long, packed binary, off int, w1 long, w2 long"))
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
