@@ -1,0 +1,203 @@
+"""Near copies by the exact Jaccard similarity of word shingles.
+
+Two sets of similarity t or more share one of their first n - ceil(t n) + 1 shingles, whatever order all sets keep, so
+documents that meet under such a shingle are all the candidates there are. Shingles that are frequent in a sample come
+last in that order; the sample decides how many candidates there are, never which pairs are found. Candidates are
+verified on their whole sets. Large groups are first linked through few members; members that are linked by then need no
+comparison, all others are compared.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from leafmill.llm.common import forget, materialise, maybe_broadcast
+from leafmill.llm.components import components
+
+SHINGLE = 5
+SIMILARITY = 0.8
+SEED = 42
+#: Documents whose shingles tell the frequent ones, and how many of these are told apart at most.
+SAMPLE, FREQUENT = 2000, 50_000
+#: Open pairs for each row of a bucket below which they are compared at once.
+OPEN = 8
+#: Rows of a batch.
+SLICE = 500
+#: Bytes of the map of a set, whose bits are the places that its shingles fall on.
+MAP = 512
+
+
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the word shingles of a text in increasing order; a text of fewer words is one shingle."""
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
+    if not words:
+        return np.empty(0, dtype=np.int64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    k = min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
+    return np.unique(np.array(hashes, dtype=np.uint64).view(np.int64))
+
+
+def _node(s: np.ndarray) -> int:
+    """Equal sets are one node."""
+    return xxhash.xxh3_64_intdigest(s.astype("<i8").tobytes(), SEED) - (1 << 63)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of bounded memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = [shingles(t.as_py(), shingle) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "set"])
+
+    return run
+
+
+def _map(s: np.ndarray) -> bytes:
+    bits = np.zeros(8 * MAP, dtype=bool)
+    bits[s.view(np.uint64) % np.uint64(8 * MAP)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _possible(t: Fraction):
+    """Pairs whose maps allow the similarity: each place that only one of them has is a shingle that is not shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            a, b, na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, MAP) for c in (4, 5))
+            most = np.minimum(na - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), nb - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+            ok = (t.numerator + t.denominator) * most >= t.numerator * (na + nb)
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+
+    return run
+
+
+def _prefixes(shingle: int, t: Fraction, frequent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = frequent.value
+        for batch in _slices(batches):
+            nodes, sizes, firsts, maps = [], [], [], []
+            for text in batch.column(1):
+                s = shingles(text.as_py(), shingle)
+                nodes.append(_node(s))
+                sizes.append(len(s))
+                maps.append(_map(s))
+                if len(s) and len(keys):
+                    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+                    ordered = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
+                else:
+                    ordered = s
+                firsts.append(ordered[: len(s) + 1 + (-t.numerator * len(s) // t.denominator)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(maps, pa.binary())], names=["id", "node", "n", "firsts", "map"])
+
+    return run
+
+
+def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several documents of the sample, sorted, and in how many they are."""
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
+    each = some.mapInArrow(_sets(shingle), "node long, set array<long>").select(F.explode("set").alias("h"))
+    found = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
+    keys, counts = found.column("h").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
+def _verified(pairs: DataFrame, held: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes whose sets have the similarity t or more."""
+    met = pairs.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return met.filter(t.denominator * both >= t.numerator * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def similar(met: DataFrame, maps: DataFrame, sets_of, t: Fraction) -> DataFrame:
+    """(h, node, n, pos) with nodes of n shingles whose pos-th is h, (node, map), and a function that reads the sets of
+    nodes -> links enough to connect all nodes of similarity t or more.
+
+    Of a pair that shares m of its first shingles, the last at i and j, at most m + min(n - i, n_ - j) - 1 are shared."""
+    p, q = t.numerator, t.denominator
+    fits = q * F.least("n", "n_") >= p * F.greatest("n", "n_")
+    ordered = [F.when(F.col("node") < F.col("node_"), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("node", "node_", "a"), ("node_", "node", "b"), ("n", "n_", "na"), ("n_", "n", "nb"), ("pos", "pos_", "i"), ("pos_", "pos", "j"))]
+    enough = (p + q) * (F.col("m") + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) - 1) >= p * (F.col("na") + F.col("nb"))
+    links, label, before, turn = None, None, None, 0
+    while True:
+        live = met.withColumn("c", F.col("node")) if label is None else materialise(met.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
+        cells = live.groupBy("h", "c").agg(F.count("*").cast("double").alias("m"))
+        left = cells.groupBy("h").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q")).filter("s * s > q")
+        got = left.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("open"), F.sum("s").alias("rows")).first()
+        last = not got.open or got.open <= OPEN * got.rows or (before is not None and got.open > before / 2)
+        if last:
+            other = live.select("h", *[F.col(x).alias(f"{x}_") for x in ("node", "n", "pos", "c")])
+            pairs = live.join(other, "h").filter("c < c_")
+        else:
+            pivot = live.groupBy("h").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "pos", "c")).alias("p"))
+            pairs = live.join(pivot.select("h", *[F.col(f"p.{x}").alias(f"{x}_") for x in ("node", "n", "pos", "c")]), "h").filter("c != c_")
+        counted = pairs.filter(fits).select(*ordered).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("m"), F.max("i").alias("i"), F.max("j").alias("j"))
+        mapped = counted.filter(enough).select("a", "b", "na", "nb").join(maps.select(F.col("node").alias("a"), F.col("map").alias("x")), "a").join(maps.select(F.col("node").alias("b"), F.col("map").alias("y")), "b")
+        pairs = materialise(mapped.select("a", "b", "na", "nb", "x", "y").mapInArrow(_possible(t), "a long, b long"))
+        held = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        new = materialise(_verified(pairs, held, t))
+        for done in (pairs, held, *(() if label is None else (live,))):
+            forget(done)
+        links = new if links is None else links.unionAll(new)
+        if last:
+            return links
+        label, before, turn = components(links), got.open, turn + 1
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per row of docs: id, component (least id reachable over links of two texts whose sets of word shingles
+    have a Jaccard similarity of `similarity` or more).
+
+    Words are split at white space and lower-cased as in the SimHash. A null or empty text has the empty set, which is
+    linked to its like only. Rows of equal id are one document; a row of null id keeps null and links nothing. An empty
+    table gives no rows."""
+    t = Fraction(str(similarity))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(base, shingle))
+    rows = materialise(base.mapInArrow(_prefixes(shingle, t, frequent), "id long, node long, n long, firsts array<long>, map binary"))
+    known = rows.filter("id is not null")
+    # Nodes are sets; of each the least id is read again for its whole set.
+    nodes = materialise(known.groupBy("node").agg(F.min("id").alias("rep")))
+    firsts = known.join(nodes, (known["node"] == nodes["node"]) & (F.col("id") == F.col("rep"))).select(known["node"], "n", "firsts", "map").dropDuplicates(["node"])
+    spread = firsts.select(F.posexplode("firsts").alias("pos", "h"), "node", "n")
+    at = Window.partitionBy("h")
+    met = materialise(spread.withColumn("low", F.min("node").over(at)).withColumn("high", F.max("node").over(at)).filter("low < high").select("h", "node", "n", "pos"))
+    maps = materialise(firsts.select("node", "map"))
+    slim = materialise(rows.select("id", "node"))
+    forget(rows)
+    known = slim.filter("id is not null")
+
+    def sets_of(few: DataFrame) -> DataFrame:
+        ids = maybe_broadcast(materialise(few.join(nodes, "node").select(F.col("rep").alias("id")).distinct()))
+        return materialise(base.join(ids, "id", "left_semi").select("text").mapInArrow(_sets(shingle), "node long, set array<long>").join(few, "node", "left_semi").dropDuplicates(["node"]))
+
+    links = similar(met, maps, sets_of, t)
+    # Several texts of one id are tied to each other.
+    same_id = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").join(known.select("id", "node"), "id").select("a", F.col("node").alias("b"))
+    groups = components(links.unionAll(same_id))
+    named = nodes.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    least = named.groupBy("c").agg(F.min("rep").alias("least"))
+    label = named.join(least, "c").select("node", "least")
+    found = materialise(known.select("id", "node").join(label, "node").select(F.col("id").alias(id_col), F.col("least").alias("component")).unionAll(slim.filter("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("long").alias("component"))))
+    for done in (slim, nodes, met, maps):
+        forget(done)
+    return found

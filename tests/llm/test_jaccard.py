@@ -1,0 +1,64 @@
+import random
+
+import corpus_pipeline as pipeline
+import pytest
+from leafmill.llm import jaccard
+
+VOCABULARY = [f"w{i}" for i in range(400)]
+
+
+def near_copies(seed=4):
+    """Texts with copies of 1 to 6 changed words, a large group of them, and a line that many texts have."""
+    rng = random.Random(seed)
+    text = lambda n: [rng.choice(VOCABULARY) for _ in range(n)]
+
+    def edited(words, n):
+        out = list(words)
+        for _ in range(n):
+            out[rng.randrange(len(out))] = rng.choice(VOCABULARY)
+        return " ".join(out)
+
+    line = text(12)
+    bases = [text(rng.choice([8, 40, 90, 200])) for _ in range(25)]
+    out = [" ".join(b) for b in bases] + [edited(b, k) for b in bases for k in (1, 3, 6)]
+    out += [" ".join(text(30) + line + text(20)) for _ in range(40)]
+    hot = text(80)
+    out += [edited(hot, k % 4) for k in range(60)] + ["One two", "one TWO", "three", " ", None, None]
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+def brute(rows):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for i, t in rows}
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))]
+    while True:
+        old = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if old == label:
+            return label
+
+
+@pytest.mark.parametrize("open_", [8, 0])
+def test_groups_equal_brute_force(spark, monkeypatch, open_):
+    monkeypatch.setattr(jaccard, "OPEN", open_)
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component for r in jaccard.near_copies(docs).collect()} == brute(rows)
+
+
+def test_stage_drops_near_copies(spark):
+    rows = [(i, t, "en", "s", 0) for i, t in near_copies() if t and t.strip()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = brute([r[:2] for r in rows])
+    kept = [r.doc_id for r in pipeline.one_of_each_group(spark, docs, "").collect()]
+    assert sorted(kept) == sorted(set(want.values()))
+
+
+def test_odd_rows(spark):
+    rows = [(3, "a b c d e f"), (1, "A b c D e f"), (None, "a b c d e f"), (9, "quite another text than that"), (9, "one more of nine"), (12, "one more of nine"), (7, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.component) for r in jaccard.near_copies(docs).collect())
+    assert got == [(-1, None), (1, 1), (3, 1), (5, 5), (7, 5), (9, 9), (9, 9), (12, 9)]
+    assert jaccard.near_copies(docs.limit(0)).count() == 0
