@@ -93,8 +93,9 @@ def greedy_near_duplicates(df: DataFrame, cluster: str, id_col: str, vector: str
     return df.select(cluster, id_col, vector, *[c for c in prefer if c not in (cluster, id_col, vector)]).groupBy(cluster).applyInPandas(run, f"`{id_col}` {kind}, kept boolean")
 
 
-def linked_groups(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
-    """(node, group): each node of the links and the least node it reaches, by label passing with pointer jumps.
+def linked_groups(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, group): each node of the links and the least node it reaches, by alternating large and small stars until
+    nothing changes; the number of rounds is logarithmic in the longest path. A node linked only to itself is a group.
 
     Each round is written to the reliable checkpoint folder, which cuts its lineage."""
     spark = edges.sparkSession
@@ -102,19 +103,24 @@ def linked_groups(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50
         import tempfile
 
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafmill-"))
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionAll(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct().checkpoint()
-    labels = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")).checkpoint()
-    for _ in range(rounds):
-        of = labels.select(F.col("u").alias("v"), F.col("l").alias("lv"))
-        near = both.join(of, "v").groupBy("u").agg(F.min("lv").alias("m"))
-        step = labels.join(near, "u").select("u", F.least("l", "m").alias("l"))
-        jump = step.select(F.col("u").alias("l"), F.col("l").alias("ll"))
-        after = step.join(jump, "l").select("u", F.least("l", "ll").alias("l")).checkpoint()
-        changed = after.join(labels.withColumnRenamed("l", "old"), "u").filter(F.col("l") != F.col("old")).limit(1).count()
-        labels = after
-        if not changed:
+    given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null").checkpoint()
+    nodes = given.select("u").unionAll(given.select("v")).distinct().withColumnRenamed("u", "node")
+    now = given.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).filter("a < b").distinct().checkpoint()
+    while True:
+        # Large star: every larger neighbour goes to the least of a node and its neighbours.
+        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a < b").distinct()
+        # Small star: a node and its smaller neighbours go to the least of them.
+        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        moved = large.join(least, "b").select("m", F.col("a").alias("v")).unionAll(least.select("m", F.col("b").alias("v")))
+        after = moved.filter("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct().checkpoint()
+        same = not after.exceptAll(now).limit(1).count() and not now.exceptAll(after).limit(1).count()
+        now = after
+        if same:
             break
-    return labels.select(F.col("u").alias("node"), F.col("l").alias("group"))
+    groups = now.groupBy("b").agg(F.min("a").alias("group"))
+    return nodes.join(groups, F.col("node") == F.col("b"), "left").select("node", F.coalesce("group", "node").alias("group"))
 
 
 def one_id_per_file(df: DataFrame, path: str, page: str, id_col: str) -> DataFrame:
