@@ -40,11 +40,12 @@ def density(df: DataFrame, refs: DataFrame, id_col: str, vector: str, r: float =
     return parts.groupBy(id_col).agg((F.sum("near") / F.lit(n)).alias("density"))
 
 
-def farthest_points(df: DataFrame, id_col: str, vector: str, k: int, start: int | None = None, batch: int = 1) -> DataFrame:
+def farthest_points(df: DataFrame, id_col: str, vector: str, k: int, start: int | None = None, batch: int = 1, chosen: DataFrame | None = None) -> DataFrame:
     """(id, pick, distance): k rows, each the farthest from those picked before (cosine distance; ties the least id).
 
     A round is one distributed pass that keeps each row's distance to the set; with batch > 1 a round picks the `batch`
-    farthest rows at once. Picked rows are never picked again and k is bounded by the rows. The distances are kept in a
+    farthest rows at once. With `chosen`, a bounded table of vectors, these are the set to begin with, and all k rows
+    are far from them too. Picked rows are never picked again and k is bounded by the rows. The distances are kept in a
     checkpointed table, so a lost executor repeats one round."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"))
@@ -53,12 +54,13 @@ def farthest_points(df: DataFrame, id_col: str, vector: str, k: int, start: int
 
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafmill-"))
     first = rows.orderBy("id") if start is None else rows.filter(F.col("id") == start)
-    new = first.limit(1).collect()
-    picks = [(r.id, 0, 2.0) for r in new]
+    given = [] if chosen is None else chosen.select(F.lit(None).cast("long").alias("id"), F.col(vector).alias("v")).collect()
+    new = given or first.limit(1).collect()
+    picks = [] if given else [(r.id, 0, 2.0) for r in new]
     state = rows.withColumn("d", F.lit(2.0))
     while new and len(picks) < k:
         held = _units(pa.array([list(map(float, r.v)) for r in new], pa.list_(pa.float64())))
-        gone = [r.id for r in new]
+        gone = [r.id for r in new if r.id is not None]
 
         def closer(batches: Iterator[pa.RecordBatch], held=held, gone=gone) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -137,13 +139,13 @@ def medoids(df: DataFrame, id_col: str, vector: str, k: int, seed: int = 0, weig
 
 
 def hybrid(df: DataFrame, id_col: str, vector: str, k: int, boundary: float = 0.15, gamma: float = 0.5, trim: float = 0.25, r: float = 0.2, seed: int = 0) -> DataFrame:
-    """(id, kind): (1-boundary)k medoids weighted against density, and boundary*k farthest points among the rows above
-    the trimmed part of the densities."""
+    """(id, kind): (1-boundary)k medoids weighted against density, and boundary*k points farthest from the medoids
+    and from each other among the rows above the trimmed part of the densities."""
     dense = density(df, df, id_col, vector, r)
     rows = df.join(dense, id_col).withColumn("w_", F.pow(F.greatest("density", F.lit(1e-6)), F.lit(-gamma)))
     inner = medoids(rows, id_col, vector, max(1, round(k * (1 - boundary))), seed, "w_").select(id_col, F.lit("medoid").alias("kind"))
     floor = rows.agg(F.percentile("density", F.lit(trim)).alias("f")).first().f
-    outer = farthest_points(rows.filter(F.col("density") >= floor).join(inner, id_col, "left_anti"), id_col, vector, k - inner.count(), batch=8)
+    outer = farthest_points(rows.filter(F.col("density") >= floor).join(inner, id_col, "left_anti"), id_col, vector, k - inner.count(), batch=8, chosen=rows.join(inner, id_col))
     return inner.unionAll(outer.select(id_col, F.lit("boundary").alias("kind")))
 
 
