@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from leafmill.llm import classifier, html, langid, packing, quality, tokens
+from leafmill.llm import classifier, langid, packing, quality, tokens
 
 
 # Quality rules
@@ -126,55 +126,6 @@ def test_language_backoff(spark):
     assert [(r.lang_pred, r.score) for r in langid.predict(df.limit(2), empty, []).collect()] == [("und", 0.0)] * 2
 
 
-# Main text
-
-
-PAGE = "<html><head><title>T</title><script>var t='</p>';</script></head><body><nav><a>Home</a></nav>{0}<footer>&copy; x</footer></body></html>"
-
-
-def test_blocks():
-    page = PAGE.format("<div class=ad>buy</div><article><h1>A &amp; B</h1><p><b>one<br><p>two\n <i>th</i>ree<form>f</form><section class='comments'><p>hi</p></section></article>")
-    assert html.blocks(page) == [(html.MAIN, "A & B"), (html.MAIN, "one"), (html.MAIN, "two three")]
-    assert html.blocks(None) == html.blocks("") == []
-    assert html.blocks(PAGE.format("<p class=notice>n<p>x<aside>s</aside>")) == [(html.OPEN, "x")]
-
-
-def test_attributes_are_read_by_name():
-    page = PAGE.format("<article><p style='overflow:hidden' title=\"id of a menu\">x</p><p hidden>y</p><div aria-hidden=true>z</div><figure><figcaption data-role=menu>cap</figcaption></figure></article>")
-    assert html.blocks(page) == [(html.MAIN, "x"), (html.MAIN, "cap")]
-
-
-def brute_repeated(streams, n, pages):
-    where = {}
-    for s in streams:
-        for i in range(len(s) - n + 1):
-            where.setdefault(tuple(s[i : i + n]), set()).add(tuple(s))
-    return [[any(len(where[tuple(s[j : j + n])]) >= pages for j in range(max(0, i - n + 1), min(i, len(s) - n) + 1)) for i in range(len(s))] for s in streams]
-
-
-def test_suffix_ranks_find_repeated_runs():
-    rng = random.Random(7)
-    for _ in range(30):
-        run = [rng.choice("abc") for _ in range(6)]
-        streams = [[rng.choice("abcd") for _ in range(rng.randrange(12))] + (run if rng.random() < 0.6 else []) for _ in range(rng.randrange(1, 7))]
-        assert [m.tolist() for m in html.repeated(streams, 2, 2)] == brute_repeated(streams, 4, 2)
-
-
-def test_open_boilerplate_goes_and_articles_stay(spark):
-    words = [f"w{i}" for i in range(500)]
-    rng = random.Random(8)
-    text = lambda: " ".join(rng.choices(words, k=30))
-    same = "read all of our other great stories right here today"
-    unique = [text() for _ in range(12)]
-    rows = [(i, f"http://www.h{i % 2}.org/{i}", PAGE.format(f"<p>{u}</p><p>{same}</p>" if i < 8 else f"<article><p>{u}</p><p>{same}</p></article>")) for i, u in enumerate(unique)]
-    rows += [(50, None, None), (51, "odd", ""), (52, rows[0][1], rows[0][2]), (None, "http://h1.org", PAGE.format("<p>x"))]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as id", "'t' as text", "2 as host")
-    got = {r.page_id: r.text for r in html.extract(df).collect()}
-    assert all(got[i] == (u if i < 8 else f"{u}\n\n{same}") for i, u in enumerate(unique))
-    assert (got[50], got[51], got[52], got[None]) == ("", "", unique[0], "x")
-    assert html.extract(df.limit(0)).count() == 0
-
-
 # Classifier
 
 
