@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,12 +18,12 @@ BROADCAST_ROWS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, one of our own, in the
+    warehouse on a cluster and a temporary one in local mode, where there are no other machines."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.leafmill.shared.dir", None)
     if not found:
-        found = spark.conf.get("spark.leafmill.shared.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="leafmill-")
+        local = re.fullmatch(r"local(\[.*)?", spark.sparkContext.master)
+        found = "file://" + tempfile.mkdtemp(prefix="leafmill-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/leafmill-work"
         spark.conf.set("spark.leafmill.shared.dir", found)
     return found.rstrip("/")
 
@@ -31,21 +32,21 @@ def materialise(df: DataFrame) -> DataFrame:
     """df written once as Parquet in the shared folder and read again.
 
     It cuts the lineage as checkpoint() does, survives the loss of executors, and computes df once
-    where an eager checkpoint computes it twice."""
+    where an eager checkpoint computes it twice. forget() deletes the files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/leafmill/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files that a materialised table was read from."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/leafmill/" in parent:
-            path = jvm.org.apache.hadoop.fs.Path(parent)
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of materialised tables that nothing reads any more; other tables are left alone."""
+    for df in tables:
+        if found := getattr(df, "written_to", None):
+            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            path = jvm.org.apache.hadoop.fs.Path(found)
             path.getFileSystem(conf).delete(path, True)
 
 
@@ -54,6 +55,24 @@ def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if len(df.limit(most + 1).take(most + 1)) <= most else df
 
 
+#: Most bits of a filter of hashes, which bounds what is broadcast for it (16 MB).
+FILTER_BITS = 1 << 27
+
+
+def split_by(rows: DataFrame, by: str, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """rows in two: those whose `by` may be among keys' `key`, and those whose `by` is certainly not (null is not).
+
+    A bit for each hash of a key, 16 times as many bits as keys, in broadcast rows of 64 bits. Beyond FILTER_BITS the
+    filter lets more through than it should, never less. It is worth it where the first part is shuffled by `by`."""
+    n = keys.count()
+    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * n).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = keys.select(slot(key).alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w_")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits_"))
+    met = rows.join(F.broadcast(words), F.floor(slot(by) / 64).cast("int") == F.col("w_"), "left")
+    inside = F.coalesce(F.call_function("shiftright", F.col("bits_"), (slot(by) % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(False)) & F.col(by).isNotNull()
+    return met.filter(inside).drop("w_", "bits_"), met.filter(~inside).drop("w_", "bits_")
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for null, by replacements alone.
 

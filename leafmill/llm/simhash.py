@@ -1,14 +1,21 @@
 """SimHash near-duplicates by bit-sliced comparison.
 
-Distinct fingerprints that agree in two of four 16-bit blocks meet in a bucket (two differing bits touch two blocks
-at most). Inside a block of buckets the fingerprints are stored as bit planes, 64 lanes to a machine word, and
-carry-save counters add up the distances of all lanes at once; the block is given up as soon as every lane has
-passed the radius. Buckets with very many distinct fingerprints are linked through common neighbours instead.
+Fingerprints that may be near meet in a bucket. There they are stored as bit planes, 64 lanes to a machine word;
+carry-save counters add up the distances of all lanes at once, and a block is given up as soon as every lane has
+passed the radius.
+
+near_duplicates() links by the fingerprints alone: two that differ in two bits at most agree in two of four 16-bit blocks,
+which name the bucket; a crowded bucket is cut again by the blocks of the bits that are left.
+
+near_copies() links by the Jaccard similarity of word shingles. Two sets of similarity t or more share one of their first
+n - ceil(t n) + 1 shingles, whatever order all sets keep, so a shared first shingle names the bucket; pairs whose
+fingerprints are near there are verified on their whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -17,30 +24,40 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import materialise, table
+from leafmill.llm.common import forget, materialise, maybe_broadcast, split_by, table
 from leafmill.llm.components import components
 
-RADIUS = 2
 SEED = 42
-SHINGLE = 3
-#: Fingerprints compared as one block, and the largest bucket that is compared so.
+#: The rule of the digests: shingles of three words, two bits.
+SHINGLE, RADIUS = 3, 2
+#: The rule of the near copies: shingles of five words, four fifths of which are shared.
+COPY_SHINGLE, SIMILARITY = 5, 0.8
+#: Fingerprints of near copies have two words. Those of sets of similarity 0.8 differ in 19 bits on average (24 in the
+#: smallest sets) with a deviation of 4, unrelated ones in 64 with one of 6.
+COPY_RADIUS = 44
+#: A bucket of more distinct fingerprints is cut.
 BLOCK = 1024
-#: Bits of a fingerprint that a bucket's members share, as pairs of 16-bit blocks.
+#: Rows that are compared as one block, whole buckets.
+LANES = 256
+#: Documents whose shingles tell the frequent ones, and how many of these are told apart at most.
+SAMPLE, FREQUENT = 2000, 50_000
+#: Rows of a batch.
+SLICE = 500
 PAIRS = tuple(combinations(range(4), 2))
+ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the word shingles of a text; 0 for a text without words or null."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of every word shingle of a text, A-Z lower-cased; a text of fewer words is one shingle, null or no word none."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
-    return majority(np.array(hashes, dtype=np.uint64))
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], dtype=np.uint64)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -52,48 +69,88 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = np.fromiter((fingerprint(t) for t in (x.as_py() for x in batch.column(1))), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of the word shingles of a text; 0 for a text without words or null."""
+    hashes = shingle_hashes(text, shingle)
+    return majority(hashes) if len(hashes) else 0
+
+
+# Bit-sliced comparison
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
-    """(64, lanes/64): plane b holds bit b of every fingerprint."""
+    """(n, words) -> (64 * words, lanes / 64): plane b holds bit b of every fingerprint."""
     lanes = -(-len(fps) // 64) * 64
-    padded = np.zeros(lanes, dtype="<u8")
+    padded = np.zeros((lanes, fps.shape[1]), dtype="<u8")
     padded[: len(fps)] = fps
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(padded.view(np.uint8).reshape(lanes, -1), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
-def near_in_block(fps: np.ndarray, ahead: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of row and lane of fps that `ahead` (rows x lanes/64, a set bit for each lane to compare) allows and
-    that differ in at most `radius` (2 or less) bits."""
-    planes = bit_planes(fps)
-    far = ~ahead
-    ones = np.zeros_like(far)
-    twos = np.zeros_like(far)
-    for b in range(64):
-        mine = np.where((fps >> np.uint64(b)) & np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
-        diff = planes[b][None, :] ^ mine[:, None]
-        carry = ones & diff
-        ones ^= diff
-        far |= (twos & carry) | ((twos ^ carry) & ones if radius == 2 else (twos | carry) if radius == 1 else ones)
-        twos ^= carry
-        if b % 4 == 3 and (far == np.uint64(0xFFFFFFFFFFFFFFFF)).all():
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    near = np.unpackbits(np.ascontiguousarray(~far).view(np.uint8), axis=1, bitorder="little")
-    return np.nonzero(near)
-
-
-def _lanes_of_same_bucket(keys: np.ndarray) -> np.ndarray:
-    """For each row a bit for every later lane with the same key. keys are sorted."""
-    n = len(keys)
-    last = np.searchsorted(keys, keys, side="right")
-    lane = np.arange(-(-n // 64) * 64)
-    mask = (lane[None, :] > np.arange(n)[:, None]) & (lane[None, :] < last[:, None])
-    return np.packbits(mask, axis=1, bitorder="little").view("<u8")
+def _beyond(counters: list[list[np.ndarray]], radius: int) -> np.ndarray:
+    """Lanes whose count is over the radius. counters[k] holds the planes of weight 2**k, two at most."""
+    shape = next(c[0] for c in counters if c)
+    total, carry = [], None
+    for level in counters:
+        planes = [*level, *([] if carry is None else [carry])]
+        carry = None
+        if len(planes) == 3:
+            a, b, c = planes
+            half = a ^ b
+            total.append(half ^ c)
+            carry = (a & b) | (half & c)
+        elif len(planes) == 2:
+            total.append(planes[0] ^ planes[1])
+            carry = planes[0] & planes[1]
+        else:
+            total.append(planes[0] if planes else np.zeros_like(shape))
+    if carry is not None:
+        total.append(carry)
+    if radius >> len(total):
+        return np.zeros_like(shape)
+    over, equal = np.zeros_like(shape), np.full_like(shape, ALL)
+    for k in range(len(total) - 1, -1, -1):
+        if radius >> k & 1:
+            equal = equal & total[k]
+        else:
+            over |= equal & total[k]
+            equal = equal & ~total[k]
+    return over
+
+
+def near_in_block(rows: np.ndarray, lanes: np.ndarray, allowed: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row and a lane that `allowed` (rows x lanes/64, a bit for each lane) lets be compared and whose
+    fingerprints, (n, words) each, differ in at most `radius` bits.
+
+    Planes of equal weight are added three at a time into a sum and a carry of double weight. Now and then the counts
+    so far are looked at: when no allowed lane is within the radius any more, the block is given up."""
+    planes, counters = bit_planes(lanes), [[]]
+    none = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    if not allowed.any():
+        return none
+    for b in range(64 * rows.shape[1]):
+        mine = np.where((rows[:, b >> 6] >> np.uint64(b & 63)) & np.uint64(1), ALL, np.uint64(0))
+        plane, level = planes[b][None, :] ^ mine[:, None], 0
+        while True:
+            here = counters[level]
+            here.append(plane)
+            if len(here) < 3:
+                break
+            x, y, z = here
+            half = x ^ y
+            counters[level] = [half ^ z]
+            plane = (x & y) | (half & z)
+            level += 1
+            if level == len(counters):
+                counters.append([])
+        if b % 32 == 31 and (near := allowed & ~_beyond(counters, radius)) is not None and not near.any():
+            return none
+    return np.nonzero(np.unpackbits(np.ascontiguousarray(near).view(np.uint8), axis=1, bitorder="little"))
+
+
+def _mask(ok: np.ndarray) -> np.ndarray:
+    """(rows, lanes) of booleans as bits, lanes filled up to whole words."""
+    return np.packbits(np.pad(ok, ((0, 0), (0, -ok.shape[1] % 64))), axis=1, bitorder="little").view("<u8")
 
 
 def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -109,72 +166,102 @@ def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], lanes: int = LANES) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, in blocks of whole buckets and about `lanes` rows (or one larger bucket)."""
+    held: pa.Table | None = None
+
+    def cut(whole: pa.Table, last: bool) -> Iterator[pa.Table]:
+        keys = whole.column(0).to_numpy()
+        at, end = 0, len(keys) if last else int(np.searchsorted(keys, keys[-1], side="left"))
+        while at < end:
+            to = min(at + lanes, end)
+            if to < len(keys):
+                first = int(np.searchsorted(keys, keys[to], side="left"))
+                to = first if first > at else int(np.searchsorted(keys, keys[at], side="right"))
+            yield whole.slice(at, to - at)
+            at = to
+        nonlocal held
+        held = whole.slice(end) if end < len(keys) else None
+
+    for batch in batches:
+        held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        if held.num_rows >= 16 * lanes:
+            yield from cut(held, False)
+    if held is not None and held.num_rows:
+        yield from cut(held, True)
+
+
+def _columns(block: pa.Table) -> list[np.ndarray]:
+    return [block.column(c).to_numpy() for c in range(block.num_columns)]
+
+
+# Links by the fingerprints alone
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+
+
+def _link(radius: int):
     """Rows (key, fp, rep) sorted by key -> links of rep to the least rep of its group within a block of buckets."""
 
-    def flush(keys, fps, reps):
-        at = 0
-        while at < len(keys):
-            end = min(at + BLOCK, len(keys))
-            if end < len(keys):  # buckets stay whole; none is larger than a block
-                first = np.searchsorted(keys, keys[end], side="left")
-                end = first if first > at else int(np.searchsorted(keys, keys[at], side="right"))
-            k, f, r = keys[at:end], fps[at:end], reps[at:end]
-            i, j = near_in_block(f, _lanes_of_same_bucket(k))
-            at = end
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            keys, fps, reps = _columns(block)
+            fps = fps.view(np.uint64)[:, None]
+            ahead = (keys[:, None] == keys[None, :]) & (np.arange(len(keys))[None, :] > np.arange(len(keys))[:, None])
+            i, j = near_in_block(fps, fps, _mask(ahead), radius)
             if len(i):
-                order = np.argsort(r, kind="stable")
+                order = np.argsort(reps, kind="stable")
                 place = np.empty_like(order)
                 place[order] = np.arange(len(order))
-                label = least_labels(len(r), place[i], place[j])
-                moved = np.nonzero(label != np.arange(len(r)))[0]
-                ranked = r[order]
+                label = least_labels(len(reps), place[i], place[j])
+                moved = np.nonzero(label != np.arange(len(reps)))[0]
+                ranked = reps[order]
                 yield pa.RecordBatch.from_arrays([pa.array(ranked[label[moved]]), pa.array(ranked[moved])], names=["a", "b"])
 
-    held: list[tuple[np.ndarray, ...]] = []
-    n = 0
-    for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)))
-        n += batch.num_rows
-        if n >= 32 * BLOCK:
-            keys, fps, reps = (np.concatenate(x) for x in zip(*held, strict=True))
-            whole = int(np.searchsorted(keys, keys[-1], side="left"))
-            if whole:
-                yield from flush(keys[:whole], fps[:whole].view(np.uint64), reps[:whole])
-                held, n = [(keys[whole:], fps[whole:], reps[whole:])], len(keys) - whole
-    if n:
-        keys, fps, reps = (np.concatenate(x) for x in zip(*held, strict=True))
-        yield from flush(keys, fps.view(np.uint64), reps)
-
-
-def _midpoint_links(hot: DataFrame) -> DataFrame:
-    """Links of the fingerprints in crowded buckets: two differ in two bits or fewer exactly if they share a value
-    among themselves and their 64 neighbours, so each such value links all who have it to the least of them."""
-    around = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)])
-    spread = hot.select("rep", F.explode(around).alias("mid"))
-    least = spread.groupBy("mid").agg(F.min("rep").alias("a"))
-    return spread.join(least, "mid").filter("a < rep").select("a", F.col("rep").alias("b")).distinct()
+    return run
 
 
 def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
-    """(fp, rep) with distinct fp and rep -> links (a, b) between reps enough to connect all within the radius."""
-    parts = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
-    keys = [F.lit(n << 32).bitwiseOR(F.shiftleft(parts[i], 16)).bitwiseOR(parts[j]) for n, (i, j) in enumerate(PAIRS)]
-    banded = distinct.select("fp", "rep", F.explode(F.array(*keys)).alias("key"))
-    crowds = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = materialise(banded.join(crowds, "key"))
-    parts_of = max(1, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    usual = met.filter(F.col("n") <= most).select("key", "fp", "rep").repartition(parts_of, "key").sortWithinPartitions("key")
-    compared = usual.mapInArrow(_link, "a long, b long")
-    return compared.unionAll(_midpoint_links(met.filter(F.col("n") > most).select("fp", "rep").distinct()))
+    """(fp, rep) with distinct fp and rep -> links (a, b) between reps enough to connect all within RADIUS bits.
+
+    Two differing bits touch two of four blocks, so the pair agrees in the two others. A bucket of over `most` is cut by
+    four blocks of the bits that its members need not share, 8 bits wide and then 4, after which a bucket holds 256
+    fingerprints at most: no pair within the radius is parted, whatever the bucket's size."""
+    parts = max(1, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows, found, used = distinct.select("fp", "rep", F.col("fp").alias("rest"), F.lit(0).cast("long").alias("key")), [], []
+    for width in (16, 8, 4):
+        part = [F.shiftrightunsigned("rest", width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long")) for i in range(4)]
+        cells = []
+        for n, (i, j) in enumerate(PAIRS):
+            k, m = (x for x in range(4) if x not in (i, j))
+            cells.append(F.struct(F.xxhash64("key", F.lit(n), part[i], part[j]).alias("key"), F.shiftleft(part[k], width).bitwiseOR(part[m]).alias("rest")))
+        cut = rows.select("fp", "rep", F.explode(F.array(*cells)).alias("cell")).select("fp", "rep", "cell.key", "cell.rest")
+        crowds = cut.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        met = materialise(cut.join(crowds, "key"))
+        used.append(met)
+        usual = met if width == 4 else met.filter(F.col("n") <= most)
+        found.append(materialise(usual.select("key", "fp", "rep").repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_link(RADIUS), "a long, b long")))
+        rows = met.filter(F.col("n") > most).select("fp", "rep", "rest", "key")
+        if width == 4 or not rows.limit(1).count():
+            break
+    forget(*used)
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionAll(more)
+    return whole
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, fp (signed long), component (least id reachable over links of two bits or fewer).
 
     Equal fingerprints are one node, so any number of copies costs one comparison. A null or empty text has
-    fingerprint 0 and is linked like any other. Rows of equal id are one document with several fingerprints; a row
-    of null id keeps null as component and links nothing. An empty table gives no rows."""
+    fingerprint 0 and is linked like any other; a long text is hashed whole. Rows of equal id are one document with
+    several fingerprints; a row of null id keeps null as component and links nothing. Other columns are ignored,
+    whatever their names. An empty table gives no rows."""
     # Row ids may repeat; nodes are ids, and every id that has a fingerprint is tied to that fingerprint's least id.
     fps = materialise(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints, "id long, fp long"))
     known = fps.filter("id is not null")
@@ -187,6 +274,199 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select(F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
+# Links by the similarity of shingles
+
+
+def _second(hashes: np.ndarray) -> np.ndarray:
+    """Other bits of the same shingles, for the second word of a fingerprint."""
+    x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _node(s: np.ndarray) -> int:
+    """Equal sets are one node."""
+    return xxhash.xxh3_64_intdigest(s.astype("<u8").tobytes(), SEED) - (1 << 63)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of bounded memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _sets(shingle: int):
+    """(text) -> (node, set): the distinct shingles in increasing order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["node", "set"])
+
+    return run
+
+
+def _firsts(shingle: int, t: Fraction, frequent):
+    """(id, text) -> (id, node, n, f1, f2, firsts): size, fingerprint and first shingles of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = frequent.value
+        for batch in _slices(batches):
+            nodes, sizes, f1, f2, firsts = [], [], [], [], []
+            for text in batch.column(1):
+                s = np.unique(shingle_hashes(text.as_py(), shingle))
+                nodes.append(_node(s))
+                sizes.append(len(s))
+                f1.append(majority(s))
+                f2.append(majority(_second(s)))
+                ordered = s
+                if len(s) and len(keys):
+                    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+                    ordered = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
+                firsts.append(ordered[: len(s) + 1 + (-t.numerator * len(s) // t.denominator)].view(np.int64))
+            words = [pa.array(np.array(f, dtype=np.uint64).view(np.int64)) for f in (f1, f2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *words, pa.array(firsts, pa.list_(pa.int64()))], names=["id", "node", "n", "f1", "f2", "firsts"])
+
+    return run
+
+
+def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several documents of a sample, sorted, and in how many they are. They come last in the order of the
+    shingles; the sample decides how full buckets are, never which pairs are found."""
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
+    each = some.mapInArrow(_sets(shingle), "node long, set array<long>").select(F.explode("set").alias("h"))
+    found = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
+    keys, counts = found.column("h").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
+def _near(t: Fraction, radius: int, all_pairs: bool):
+    """(key, node, n, f1, f2, c, asks) sorted by key -> pairs (a, b) of nodes of one key and different c, one of which
+    asks, whose sizes allow the similarity and whose fingerprints are near: all of them, or of each node that with the
+    nearest other and that with the nearest one before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            key, node, n, f1, f2, c = _columns(block.select(range(6)))
+            asks = np.nonzero(block.column(6).to_numpy(zero_copy_only=False))[0]
+            fps = np.stack([f1, f2], axis=1).view(np.uint64)
+            for at in range(0, len(asks), BLOCK):
+                q = asks[at : at + BLOCK]
+                ok = (key[q][:, None] == key[None, :]) & (c[q][:, None] != c[None, :])
+                ok &= t.denominator * np.minimum(n[q][:, None], n[None, :]) >= t.numerator * np.maximum(n[q][:, None], n[None, :])
+                i, j = near_in_block(fps[q], fps, _mask(ok), radius)
+                if not len(i):
+                    continue
+                i = q[i]
+                if not all_pairs:
+                    far = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1)
+                    kept = []
+                    for use in (np.arange(len(i)), np.nonzero(j < i)[0]):
+                        order = use[np.lexsort((j[use], far[use], i[use]))]
+                        kept.append(order[np.diff(i[order], prepend=-1) != 0])
+                    kept = np.unique(np.concatenate(kept))
+                    i, j = i[kept], j[kept]
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets_of, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes whose sets have the similarity t or more, written."""
+    pairs = materialise(pairs.distinct())
+    held = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    met = pairs.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    found = materialise(met.filter(t.denominator * both >= t.numerator * (F.size("x") + F.size("y") - both)).select("a", "b"))
+    forget(pairs, held)
+    return found
+
+
+def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:
+    """(h, node, n, f1, f2), a row for each first shingle of a node, and a function that reads the sets of nodes ->
+    links enough to connect all nodes of similarity t or more.
+
+    First each node is linked to its nearest ones in each bucket, a crowded bucket being cut by a hash that differs from
+    bucket to bucket, with two of its members in every part. What this joins needs no more comparison: then the members
+    that are outside the largest group of their bucket are compared with all of the bucket that are not linked to them
+    by now, block by block."""
+    spark = met.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    near = lambda rows, all_pairs: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near(t, radius, all_pairs), "a long, b long")
+    row = ["node", "n", "f1", "f2"]
+    mark = lambda seed: F.struct(F.xxhash64("node", "h", F.lit(seed)), *row)
+    crowds = materialise(met.groupBy("h").agg(F.count("*").alias("m"), F.min(mark(1)).alias("p1"), F.min(mark(2)).alias("p2")).filter(F.col("m") > most).withColumn("cuts", F.ceil(F.col("m") / most).cast("int")))
+    cut = met.join(maybe_broadcast(crowds.select("h", "cuts")), "h", "left")
+    own = cut.select(F.xxhash64("h", F.pmod(F.xxhash64("node", "h"), F.coalesce("cuts", F.lit(1))).cast("int")).alias("key"), *row)
+    leads = crowds.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).withColumn("p", F.explode(F.array("p1", "p2")))
+    rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in row]))
+    first = _verified(near(rows.select("*", F.col("node").alias("c"), F.lit(True).alias("asks")), False), sets_of, t)
+
+    label = materialise(components(first))
+    live = met.join(label, "node", "left").select("h", *row, F.coalesce("component", "node").alias("c"))
+    cells = live.groupBy("h", "c").agg(F.count("*").alias("k"))
+    open_ = cells.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("m"), F.count("*").alias("groups")).filter("groups > 1")
+    open_ = materialise(open_.select(F.col("h").alias("h_"), F.col("top.c").alias("big"), F.ceil(F.col("m") / most).cast("int").alias("cuts"), F.ceil((F.col("m") - F.col("top.k")) / most).cast("int").alias("slices")))
+    live = materialise(live.join(open_, F.col("h") == F.col("h_")).drop("h_"))
+    # A grid for each bucket: all of it in cuts, those outside its largest group also in slices.
+    place = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    told = live.withColumn("cut", place("cuts", 3)).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"))
+    ask = live.filter("c != big").withColumn("slice", place("slices", 4)).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"))
+    rest = _verified(near(told.unionAll(ask), True), sets_of, t)
+    forget(crowds, label, open_, live)
+    return first.unionAll(rest)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:
+    """One row per row of docs: id, component (least id reachable over links of two texts whose sets of word shingles
+    have a Jaccard similarity of `similarity` or more).
+
+    Words are split at white space and lower-cased as in the digests. A null or empty text has the empty set, which is
+    linked to its like only; a long text is read whole. Rows of equal id are one document; a row of null id keeps null and
+    links nothing. Other columns are ignored, whatever their names. An empty table gives no rows. Buckets of any size
+    are compared whole. A pair exactly at the similarity is missed if its fingerprints differ in over `radius` bits,
+    less than once in 100,000 such pairs of the shortest texts and once in 10**9 of others."""
+    t = Fraction(str(similarity))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(base, shingle))
+    rows = materialise(base.mapInArrow(_firsts(shingle, t, frequent), "id long, node long, n long, f1 long, f2 long, firsts array<long>"))
+    known = rows.filter("id is not null")
+    # Nodes are sets; of each the least id is read again for its whole set.
+    nodes = materialise(known.groupBy("node").agg(F.min("id").alias("rep")))
+    one = known.join(nodes.select(F.col("node").alias("node_"), "rep"), (F.col("node") == F.col("node_")) & (F.col("id") == F.col("rep"))).dropDuplicates(["node"])
+    spread = materialise(one.select(F.explode("firsts").alias("h"), "node", "n", "f1", "f2"))
+    shared = materialise(spread.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select(F.col("h").alias("h_")))
+    may, _ = split_by(spread, "h", shared, "h_")
+    met = materialise(may.join(shared, F.col("h") == F.col("h_")).drop("h_"))
+    slim = materialise(rows.select("id", "node"))
+    forget(rows, spread, shared)
+    known = slim.filter("id is not null")
+
+    def sets_of(few: DataFrame) -> DataFrame:
+        few = materialise(few)
+        ids = materialise(few.join(nodes, "node").select(F.col("rep").alias("id_")).distinct())
+        may, _ = split_by(base, "id", ids, "id_")
+        found = materialise(may.select("text").mapInArrow(_sets(shingle), "node long, set array<long>").join(few, "node", "left_semi").dropDuplicates(["node"]))
+        forget(few, ids)
+        return found
+
+    links_ = similar(met, sets_of, t, radius, most)
+    # Several texts of one id are tied to each other.
+    same_id = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").join(known.select("id", "node"), "id").select("a", F.col("node").alias("b"))
+    groups = components(links_.unionAll(same_id))
+    named = nodes.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    least = named.groupBy("c").agg(F.min("rep").alias("least"))
+    label = named.join(least, "c").select("node", "least")
+    found = materialise(known.select("id", "node").join(label, "node").select(F.col("id").alias(id_col), F.col("least").alias("component")).unionAll(slim.filter("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("long").alias("component"))))
+    forget(slim, nodes, met)
+    return found
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))

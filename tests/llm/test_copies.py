@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline as pipeline
 import pytest
-from leafmill.llm import jaccard
+from leafmill.llm import simhash
 
 VOCABULARY = [f"w{i}" for i in range(400)]
 
@@ -40,12 +40,11 @@ def brute(rows):
             return label
 
 
-@pytest.mark.parametrize("open_", [8, 0])
-def test_groups_equal_brute_force(spark, monkeypatch, open_):
-    monkeypatch.setattr(jaccard, "OPEN", open_)
+@pytest.mark.parametrize("most", [1024, 9])
+def test_groups_equal_brute_force(spark, most):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert {r.doc_id: r.component for r in jaccard.near_copies(docs).collect()} == brute(rows)
+    assert {r.doc_id: r.component for r in simhash.near_copies(docs, most=most).collect()} == brute(rows)
 
 
 def test_stage_drops_near_copies(spark):
@@ -58,7 +57,7 @@ def test_stage_drops_near_copies(spark):
 
 def test_odd_rows(spark):
     rows = [(3, "a b c d e f"), (1, "A b c D e f"), (None, "a b c d e f"), (9, "quite another text than that"), (9, "one more of nine"), (12, "one more of nine"), (7, None), (5, "")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.component) for r in jaccard.near_copies(docs).collect())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as id", "2 as h", "3 as node", "4 as n", "5 as component", "6 as bits_")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.component) for r in simhash.near_copies(docs).collect())
     assert got == [(-1, None), (1, 1), (3, 1), (5, 5), (7, 5), (9, 9), (9, 9), (12, 9)]
-    assert jaccard.near_copies(docs.limit(0)).count() == 0
+    assert simhash.near_copies(docs.limit(0)).count() == 0
