@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import jaccard, langid, mixing, packing, substring
+from leafmill.llm import langid, mixing, packing, simhash, substring
 from leafmill.llm.common import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,7 +23,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or
     more), once; rows of null id are kept."""
-    found = materialise(jaccard.near_copies(docs).filter("doc_id is not null"))
+    found = materialise(simhash.near_copies(docs).filter("doc_id is not null"))
     keep = found.filter(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
     known = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").select(*COLUMNS)
     rest = docs.filter("doc_id is null").select(*COLUMNS)
