@@ -1,10 +1,12 @@
 """Substring dedup by super-k-mers of words.
 
 A window is K consecutive words. Its minimiser is the least hash among its M-word grams, so equal windows have equal
-minimisers. Consecutive windows of one text with the same minimiser form a super-k-mer. Only digests travel first: they
-show which minimisers occur in two documents, and which super-k-mers there are equal as wholes. Where different
-super-k-mers share a minimiser, each distinct one is sent once, as one packed string, to its minimiser's bucket; there
-the windows of all strings are sorted and compared word by word, which gives each window's first document exactly.
+minimisers. Consecutive windows of one text with the same minimiser form a super-k-mer, of K - M + 1 windows at most.
+Only digests travel first: they show which minimisers occur in two documents, and which super-k-mers there are equal as
+wholes (by 64 bits of the minimiser and 64 of the words). Where different super-k-mers share a minimiser, each distinct
+one is sent once, as one packed string, to its minimiser's bucket; there the windows of all strings are sorted and
+compared word by word, which gives each window's first document exactly. A crowded bucket's strings are cut again by a
+second minimiser over longer grams, and what is crowded even then into windows, which are compared as strings.
 """
 
 from __future__ import annotations
@@ -18,18 +20,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import materialise, table
+from leafmill.llm.common import forget, materialise, maybe_broadcast, split_by, table
 
 WINDOW = 50
 GRAM = 8
-#: A bucket of so many distinct super-k-mers (2 MB or so) is one unit of work. A minimiser with more has its windows
-#: sent one by one, as 128-bit digests, which costs several times the bytes but leaves no bucket to a single task.
-CROWD = 4096
+#: Words of the grams of the second minimiser.
+LONGER_GRAM = 24
+#: A bucket of more strings is cut by the next minimiser, so that none is left to a single task.
+CROWD = 512
+#: Strings and bytes of the buckets that are sorted together.
+ROWS, BYTES = 4096, 4_000_000
 #: Words handled as one array.
 SLICE = 500_000
 CACHE = 1_000_000
-#: Bits of the filter of ids whose text is needed in the second pass; a full filter lets every text through.
-FILTER_BITS = 1 << 22
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -96,6 +99,9 @@ def super_kmers(h: np.ndarray, sizes: np.ndarray, window: int = WINDOW, gram: in
     mini = least[at]
     new = np.ones(total, dtype=bool)
     new[1:] = (mini[1:] != mini[:-1]) | (text[1:] != text[:-1])
+    # Where one word is repeated the minimiser never changes; such a run is cut into pieces of bounded size.
+    order = np.arange(total)
+    new |= (order - np.maximum.accumulate(np.where(new, order, 0))) % want == 0
     first = np.nonzero(new)[0]
     n = np.diff(np.concatenate([first, [total]]))
     start = at[first]
@@ -137,35 +143,51 @@ def _occurrences(window: int, gram: int):
     return run
 
 
+#: Strings on their way: the bucket, the super-k-mer they come from, its owner, and where in it they begin.
+SENT = "key long, mini long, digest long, owner long, off int, packed binary"
+
+
+def _sent(key: np.ndarray, mini, digest, owner, off: np.ndarray, strings: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_signed(key), mini, digest, owner, pa.array(off.astype(np.int32)), pa.array(strings, pa.binary())], names=["key", "mini", "digest", "owner", "off", "packed"])
+
+
 def _packed(window: int, gram: int):
-    """(id, usual, crowded, text) -> the packed string of each super-k-mer named in usual, and the windows' digests of
-    each one named in crowded."""
-    names = ["mini", "digest", "owner", "packed", "off", "w1", "w2"]
+    """(id, wanted, text) -> the packed string of each super-k-mer of the text whose digest is wanted, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column(3)[i].as_py().encode("utf-8", "surrogatepass").split()
+                words = batch.column(2)[i].as_py().encode("utf-8", "surrogatepass").split()
                 h = hashes.of(words)
                 _, pos, n, mini, digest = super_kmers(h, np.array([len(h)]), window, gram)
-                digest, (_, once) = digest.view(np.int64), np.unique(digest, return_index=True)
-                owner = batch.column(0)[i].as_py()
-                wanted = [np.isin(digest[once], batch.column(c)[i].values.to_numpy(zero_copy_only=False)) if batch.column(c)[i].as_py() else np.zeros(len(once), dtype=bool) for c in (1, 2)]
-                usual, crowded = once[wanted[0]], once[wanted[1]]
-                if len(usual):
-                    strings = [b" ".join(words[p : p + k + window - 1]) for p, k in zip(pos[usual].tolist(), n[usual].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(mini[usual]), pa.array(digest[usual]), pa.array([owner] * len(usual), pa.int64()), pa.array(strings, pa.binary()), pa.nulls(len(usual), pa.int32()), pa.nulls(len(usual), pa.int64()), pa.nulls(len(usual), pa.int64())],
-                        names=names,
-                    )
-                for k in crowded.tolist():
-                    at = np.arange(pos[k], pos[k] + n[k])
-                    w1, w2 = _digests(h, at, at + window, B), _digests(_mixed(h), at, at + window, C)
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(np.repeat(mini[k], len(at))), pa.array(np.repeat(digest[k], len(at))), pa.array([owner] * len(at), pa.int64()), pa.nulls(len(at), pa.binary()), pa.array(np.arange(len(at), dtype=np.int32)), _signed(w1), _signed(w2)],
-                        names=names,
-                    )
+                _, once = np.unique(digest, return_index=True)
+                once = once[np.isin(digest.view(np.int64)[once], batch.column(1)[i].values.to_numpy(zero_copy_only=False))]
+                if len(once):
+                    strings = [b" ".join(words[p : p + k + window - 1]) for p, k in zip(pos[once].tolist(), n[once].tolist(), strict=True)]
+                    yield _sent(mini[once], _signed(mini[once]), _signed(digest[once]), pa.array([batch.column(0)[i].as_py()] * len(once), pa.int64()), np.zeros(len(once)), strings)
+
+    return run
+
+
+def _cut(window: int, gram: int):
+    """Packed strings of crowded buckets -> their parts by the minimiser over grams of `gram` words; with as many words
+    as a window has, its single windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = [x.split() for x in part.column(5).to_pylist()]
+                sizes = np.array([len(t) for t in texts])
+                row, pos, n, mini, _ = super_kmers(hashes.of([w for t in texts for w in t]), sizes, window, gram)
+                if not len(row):
+                    continue
+                keys, offs = part.column(0).to_numpy().view(np.uint64), part.column(4).to_numpy()
+                strings = [b" ".join(texts[r][p : p + k + window - 1]) for r, p, k in zip(row.tolist(), pos.tolist(), n.tolist(), strict=True)]
+                take = pa.array(row)
+                yield _sent(_mixed(mini + keys[row] * A), part.column(1).take(take), part.column(2).take(take), part.column(3).take(take), offs[row] + pos, strings)
 
     return run
 
@@ -202,11 +224,11 @@ def first_owners(strings: list[bytes], owners: np.ndarray, window: int = WINDOW)
 
 
 def _count(window: int):
-    """(mini, digest, owner, packed) sorted by mini -> for each super-k-mer the stretches of windows that an
+    """(key, mini, digest, owner, off, packed) sorted by key -> for each super-k-mer the stretches of windows that an
     earlier owner has as well. Buckets are handled whole, many at a time."""
 
     def flush(batch: pa.Table) -> pa.RecordBatch:
-        owners = batch.column("owner").to_numpy(zero_copy_only=False)
+        owners, offs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("owner", "off"))
         of, inside, first = first_owners(batch.column("packed").to_pylist(), owners, window)
         early = first < owners[of]
         of, inside = of[early], inside[early]
@@ -215,25 +237,25 @@ def _count(window: int):
         start = np.nonzero(new)[0]
         end = np.concatenate([start[1:], [len(of)]]) - 1 if len(of) else start
         row = pa.array(of[start])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("mini").combine_chunks().take(row), batch.column("digest").combine_chunks().take(row), pa.array(inside[start].astype(np.int32)), pa.array((inside[end] + 1).astype(np.int32))],
-            names=["mini", "digest", "a", "b"],
-        )
+        spans = [pa.array((offs[of[start]] + x).astype(np.int32)) for x in (inside[start], inside[end] + 1)]
+        return pa.RecordBatch.from_arrays([batch.column("mini").combine_chunks().take(row), batch.column("digest").combine_chunks().take(row), *spans], names=["mini", "digest", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
+        rows = size = 0
         for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            while held.num_rows > 2 * CROWD and (held.num_rows >= 4 * CROWD or held.nbytes >= 4_000_000):
-                minis = held.column("mini").to_numpy()
-                most = min(held.num_rows, 4096)
-                cut = int(np.searchsorted(minis, minis[most - 1], side="left")) or int(np.searchsorted(minis, minis[0], side="right"))
-                if cut == held.num_rows:
-                    break
-                yield flush(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield flush(held)
+            for at in range(0, batch.num_rows, ROWS):
+                held.append(batch.slice(at, ROWS))
+                rows, size = rows + held[-1].num_rows, size + held[-1].nbytes
+                if rows >= ROWS or size >= BYTES:
+                    whole = pa.Table.from_batches(held)
+                    keys = whole.column("key").to_numpy()
+                    if cut := int(np.searchsorted(keys, keys[-1], side="left")):
+                        yield flush(whole.slice(0, cut))
+                        held = whole.slice(cut).to_batches()
+                        rows, size = whole.num_rows - cut, sum(x.nbytes for x in held)
+        if rows:
+            yield flush(pa.Table.from_batches(held))
 
     return run
 
@@ -271,23 +293,36 @@ def _finish(window: int, layout: str, names: list[str]):
     return run
 
 
-def _with_id_in(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """All texts whose id is in `ids` and, while that is small, few others: a bit for each hash of an id, held in at most
-    FILTER_BITS / 64 rows, which bounds what is broadcast. Texts that fail here need not be shuffled."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    found = ids.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w_")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits_"))
-    met = texts.join(F.broadcast(found), F.floor(slot / 64).cast("int") == F.col("w_"))
-    return met.filter(F.call_function("shiftright", F.col("bits_"), (slot % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1).drop("w_", "bits_")
-
-
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = (), window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, layout: str = "words") -> DataFrame:
+def _stretches(sent: DataFrame, window: int, longer: int, crowd: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(mini, digest, a, b) of the windows of packed strings that an earlier owner has, and the tables it is read from."""
+    parts = max(1, int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    compared = lambda rows: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_count(window), "mini long, digest long, a int, b int")
+    found, used = None, []
+    for gram in (longer, window):
+        crowds = materialise(sent.groupBy(F.col("key").alias("key_")).agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select("key_"))
+        used.append(crowds)
+        if not crowds.limit(1).count():
+            new = compared(sent)
+            return (new if found is None else found.unionAll(new)), used
+        few = maybe_broadcast(crowds)
+        new = compared(sent.join(few, F.col("key") == F.col("key_"), "left_anti"))
+        found = new if found is None else found.unionAll(new)
+        sent = materialise(sent.join(few, F.col("key") == F.col("key_"), "left_semi").mapInArrow(_cut(window, gram), SENT))
+        used.append(sent)
+    least = sent.groupBy(F.col("packed").alias("packed_")).agg(F.min("owner").alias("first"))
+    early = sent.join(least, (F.col("packed") == F.col("packed_")) & (F.col("first") < F.col("owner")))
+    return found.unionAll(early.select("mini", "digest", F.col("off").alias("a"), (F.col("off") + 1).alias("b"))), used
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = (), window: int = WINDOW, gram: int = GRAM, longer: int = LONGER_GRAM, crowd: int = CROWD, layout: str = "words") -> DataFrame:
     """One row per row of docs: id, `columns`, text (what is kept), n_words, n_removed.
 
     A word goes if a window over it also starts in a row with a smaller id; windows are judged on the input. layout
     "words" joins the kept words by one blank; "original" keeps the white space between neighbours and puts a line
-    feed where words went. Texts are taken whole; null, empty and short texts have no window and lose nothing (a null
-    stays null in the original layout). A row of null id neither loses words nor takes any from others. Rows of equal
-    id don't take words from each other. An empty table gives no rows."""
+    feed where words went. Texts are taken whole, however long; null, empty and short texts have no window and lose
+    nothing (a null stays null in the original layout). A row of null id neither loses words nor takes any from others.
+    Rows of equal id don't take words from each other. Columns that are not named are dropped, whatever their names. An
+    empty table gives no rows. `crowd` decides how a bucket is compared, never what is found."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("tag"), *[F.col(c).alias(f"c{i}_") for i, c in enumerate(columns)], F.col(text_col).alias("text"))
     known = base.filter("id is not null and text is not null").select("id", "tag", "text")
     seen = materialise(known.mapInArrow(_occurrences(window, gram), "mini long, digest long, id long, tag int, pos int, n int"))
@@ -296,20 +331,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     minis = wholes.groupBy("mini").agg(F.min("owner").alias("first_"), F.max("last").alias("last_"), F.count("*").alias("kinds")).filter("first_ < last_")
     shared = materialise(wholes.drop("last").join(minis.select("mini", "kinds"), "mini"))
 
-    asked = shared.filter("kinds > 1").groupBy(F.col("owner").alias("id")).agg(F.collect_list(F.when(F.col("kinds") <= crowd, F.col("digest"))).alias("usual"), F.collect_list(F.when(F.col("kinds") > crowd, F.col("digest"))).alias("crowded"))
-    asked = materialise(asked)
-    texts = _with_id_in(known.select("id", "text"), asked).join(asked, "id").select("id", "usual", "crowded", "text")
-    sent = materialise(texts.mapInArrow(_packed(window, gram), "mini long, digest long, owner long, packed binary, off int, w1 long, w2 long"))
-
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    strings = sent.filter("packed is not null").select("mini", "digest", "owner", "packed").repartition(parts, "mini").sortWithinPartitions("mini")
-    usual = strings.mapInArrow(_count(window), "mini long, digest long, a int, b int")
-    single = sent.filter("packed is null").select("mini", "digest", "owner", "off", F.col("w1"), F.col("w2"))
-    least = single.groupBy(F.col("w1").alias("v1"), F.col("w2").alias("v2")).agg(F.min("owner").alias("first"))
-    early = single.join(least, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & (F.col("first") < F.col("owner")))
-    crowded = early.select("mini", "digest", F.col("off").alias("a"), (F.col("off") + 1).alias("b"))
-    stretches = usual.unionAll(crowded).groupBy("mini", "digest").agg(F.collect_list(F.struct("a", "b")).alias("parts"))
+    asked = materialise(shared.filter("kinds > 1").groupBy(F.col("owner").alias("owner_")).agg(F.collect_list("digest").alias("wanted")))
+    owners, _ = split_by(known.select("id", "text"), "id", asked, "owner_")
+    sent = materialise(owners.join(asked, F.col("id") == F.col("owner_")).select("id", "wanted", "text").mapInArrow(_packed(window, gram), SENT))
+    early, used = _stretches(sent, window, longer, crowd)
+    stretches = early.groupBy("mini", "digest").agg(F.collect_list(F.struct("a", "b")).alias("parts"))
     found = materialise(shared.select("mini", "digest", "owner").join(stretches, ["mini", "digest"], "left"))
+    forget(shared, asked, sent, *used)
 
     # Whoever comes after the owner of a super-k-mer loses all of it; the owner loses what earlier owners have.
     hit = (F.col("id") > F.col("owner")) | ((F.col("id") == F.col("owner")) & F.col("parts").isNotNull())
@@ -318,12 +346,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A stretch of windows as one number: first window in the high half, the one after the last in the low half.
     code = lambda a, b: F.shiftleft((F.col("pos") + a).cast("long"), 32) + F.col("pos") + b
     codes = F.when(F.col("id") > F.col("owner"), F.array(code(F.lit(0), F.col("n")))).otherwise(F.transform("parts", lambda x: code(x["a"], x["b"])))
-    spans = hits.select("id", "tag", codes.alias("codes")).groupBy("id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("spans"))
-    joined = base.join(spans, ["id", "tag"], "left").select("id", *[f"c{i}_" for i in range(len(columns))], "text", "spans")
+    spans = hits.select("id", "tag", codes.alias("codes")).groupBy(F.col("id").alias("id_"), F.col("tag").alias("tag_")).agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("spans"))
+    spans = materialise(spans)
+    forget(seen, found)
+    # Only texts that lose words, and few others, are shuffled again.
+    changed, whole = split_by(base, "id", spans, "id_")
+    joined = changed.join(spans, (F.col("id") == F.col("id_")) & (F.col("tag") == F.col("tag_")), "left")
     names = [id_col, *columns, text_col, "n_words", "n_removed"]
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"`{id_col}` long", *[f"`{c}` {kinds[c]}" for c in columns], f"`{text_col}` string, n_words long, n_removed long"])
-    return joined.mapInArrow(_finish(window, layout, names), schema)
+    done = lambda rows, spans: rows.select("id", *[f"c{i}_" for i in range(len(columns))], "text", spans).mapInArrow(_finish(window, layout, names), schema)
+    return done(joined, F.col("spans")).unionAll(done(whole, F.lit(None).cast("array<bigint>").alias("spans")))
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
