@@ -7,7 +7,6 @@ a sample says are needed for the target recall. Whatever is met there is verifie
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +30,8 @@ TARGET_RECALL = 0.99
 #: A cell is compared in chunks of about so many vectors.
 CHUNK = 1024
 ROUNDS = 12
+#: Sums of distances that are held at a time.
+SUMS = 2_000_000
 
 
 def _halves(x: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,20 +57,36 @@ def _square_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)[None, :]
 
 
-def traverse(da: np.ndarray, db: np.ndarray, cells: int) -> list[tuple[int, int]]:
-    """The first `cells` pairs of codes in order of da[i] + db[j], by the multi-sequence algorithm."""
-    oa, ob = np.argsort(da, kind="stable"), np.argsort(db, kind="stable")
-    heap, pushed, out = [(da[oa[0]] + db[ob[0]], 0, 0)], {(0, 0)}, []
-    while heap and len(out) < cells:
-        _, i, j = heapq.heappop(heap)
-        out.append((int(oa[i]), int(ob[j])))
-        for p, q in ((i + 1, j), (i, j + 1)):
-            if p < len(oa) and q < len(ob) and (p, q) not in pushed:
-                pushed.add((p, q))
-                heapq.heappush(heap, (da[oa[p]] + db[ob[q]], p, q))
+def traverse(da: np.ndarray, db: np.ndarray, cells: int) -> np.ndarray:
+    """(rows, cells) numbers of the cells (code of a * codes of b + code of b) that the multi-sequence traversal of each
+    row's two distance lists reaches first, in order of da[i] + db[j].
+
+    The traversal takes the pair of places (p, q) in the sorted lists only after all pairs at or before both, which
+    are (p + 1) * (q + 1). So the first `cells` are among the pairs with (p + 1) * (q + 1) <= cells, some cells * ln(cells)
+    of them whatever the size of the grid; those sums are formed and put in order."""
+    k, m = da.shape[1], db.shape[1]
+    cells = min(cells, k * m)
+    oa, ob = (np.argsort(d, axis=1, kind="stable")[:, :cells] for d in (da, db))
+    sa, sb = np.take_along_axis(da, oa, axis=1), np.take_along_axis(db, ob, axis=1)
+    p = np.repeat(np.arange(sa.shape[1]), [min(sb.shape[1], cells // (i + 1)) for i in range(sa.shape[1])])
+    q = np.arange(len(p)) - np.searchsorted(p, p)
+    out = np.empty((len(da), cells), dtype=np.int64)
+    step = max(1, SUMS // len(p))
+    for at in range(0, len(da), step):
+        here = slice(at, at + step)
+        sums = sa[here][:, p] + sb[here][:, q]
+        order = np.argsort(sums, axis=1, kind="stable")[:, :cells]
+        out[here] = np.take_along_axis(oa[here], p[order], axis=1) * m + np.take_along_axis(ob[here], q[order], axis=1)
     return out
 
 
+def reached_at(da: np.ndarray, db: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each row the place at which the traversal reaches its cell (i, j): pairs with a smaller sum, counted code by
+    code, so no grid is formed. Of sums that are equal to rounding all count."""
+    sb, sums = np.sort(db, axis=1), da[np.arange(len(da)), i] + db[np.arange(len(db)), j]
+    return np.array([np.searchsorted(b, s - a + 1e-12 * abs(s), side="right").sum() for a, b, s in zip(da, sb, sums, strict=True)]) - 1
+
+
 @dataclass
 class MultiIndex:
     a: np.ndarray
@@ -77,16 +94,13 @@ class MultiIndex:
     dim: int
     cells: int = 1
 
-    def visited(self, x: np.ndarray) -> np.ndarray:
-        """(rows, cells) cells by number, the nearest first. The grid is small, so all sums are formed and the least
-        `cells` of them taken, which is the order in which traverse() goes."""
+    def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ha, hb = _halves(x, self.dim)
-        sums = _square_distances(ha, self.a)[:, :, None] + _square_distances(hb, self.b)[:, None, :]
-        flat = sums.reshape(len(x), -1)
-        n = min(self.cells, flat.shape[1])
-        part = np.argpartition(flat, n - 1, axis=1)[:, :n] if n < flat.shape[1] else np.broadcast_to(np.arange(n), flat.shape).copy()
-        order = np.argsort(np.take_along_axis(flat, part, axis=1), axis=1, kind="stable")
-        return np.take_along_axis(part, order, axis=1)
+        return _square_distances(ha, self.a), _square_distances(hb, self.b)
+
+    def visited(self, x: np.ndarray) -> np.ndarray:
+        """(rows, cells) cells by number in the order of the traversal, the nearest first."""
+        return traverse(*self.distances(x), self.cells)
 
 
 def fit(sample: np.ndarray, threshold: float = THRESHOLD, codes: int = CODES, target: float = TARGET_RECALL, seed: int = 7) -> MultiIndex:
@@ -100,10 +114,10 @@ def fit(sample: np.ndarray, threshold: float = THRESHOLD, codes: int = CODES, ta
     noise -= (noise * sample).sum(axis=1, keepdims=True) * sample
     noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
     turned = threshold * sample + np.sqrt(max(0.0, 1 - threshold**2)) * noise
-    full = MultiIndex(index.a, index.b, dim, len(index.a) * len(index.b))
-    mine, other = full.visited(sample), full.visited(turned)
-    at = np.minimum((mine == other[:, :1]).argmax(axis=1), (other == mine[:, :1]).argmax(axis=1))
-    index.cells = int(np.quantile(at, target, method="higher")) + 1
+    (ma, mb), (ta, tb) = index.distances(sample), index.distances(turned)
+    there = reached_at(ma, mb, ta.argmin(axis=1), tb.argmin(axis=1))
+    back = reached_at(ta, tb, ma.argmin(axis=1), mb.argmin(axis=1))
+    index.cells = min(len(index.a) * len(index.b), int(np.quantile(np.minimum(there, back), target, method="higher")) + 1)
     return index
 
 
@@ -139,11 +153,13 @@ def _look(index: MultiIndex):
                 cells = index.visited(x[rows]).astype(np.int32)
                 n = cells.shape[1]
                 at = np.repeat(rows, n)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, cells.size + 1, n, dtype=np.int32)), pa.array(cells.reshape(-1)))
-                take = pa.array(np.repeat(np.arange(len(rows)), n))
+                # The list of cells goes with the row at home only, so that it is sent once.
+                sizes = np.zeros(cells.size, dtype=np.int32)
+                sizes[::n] = n
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(cells.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(np.full(len(at), x.shape[1], dtype=np.int32)), pa.array(cells.reshape(-1)),
-                     pa.array(np.repeat(cells[:, 0], n)), batch.column(2).take(pa.array(at)), lists.take(take), batch.column(3).take(pa.array(at))],
+                     pa.array(np.repeat(cells[:, 0], n)), batch.column(2).take(pa.array(at)), lists, batch.column(3).take(pa.array(at))],
                     names=["rep", "label", "dim", "cell", "home", "v", "visits", "copies"],
                 )
 
@@ -159,18 +175,19 @@ def _verify(threshold: float):
         if not len(i) or not len(q):
             return
         x, _ = _unit(columns["v"].combine_chunks())
-        seen = columns["visits"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1)
+        seen = columns["visits"].combine_chunks().take(pa.array(i)).flatten().to_numpy(zero_copy_only=False).reshape(len(i), -1)
         ids, ends, sums = [], [], []
         for s in range(0, len(q), 1024):
             part = q[s : s + 1024]
             r, c = np.nonzero((x[part] @ x[i].T) >= threshold)
-            r, c = part[r], i[c]
-            other = rep[r] != rep[c]
-            r, c = r[other], c[other]
+            other = rep[part[r]] != rep[i[c]]
+            r, c = part[r[other]], c[other]
             if not len(r):
                 continue
             # Both see each other unless the one at home here does not visit the other's home; then its link is counted here.
-            alone = ~(seen[c] == home[r][:, None]).any(axis=1)
+            step = max(1, SUMS // seen.shape[1])
+            alone = np.concatenate([~(seen[c[k : k + step]] == home[r[k : k + step]][:, None]).any(axis=1) for k in range(0, len(c), step)])
+            c = i[c]
             ids += [rep[r], rep[c[alone]]]
             sums += [copies[c], copies[r[alone]]]
             nodes, places = np.unique(np.concatenate([rep[r], rep[c]]), return_inverse=True)
@@ -236,7 +253,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     sliced = placed.withColumn("slice", F.explode(F.when(at_home, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     group = F.xxhash64("label", "dim", "cell", "chunk", "slice").alias("group")
-    met = sliced.select(group, "rep", at_home.alias("lives"), (F.col("slice") == F.col("own")).alias("looks"), "home", "copies", "v", "visits")
+    met = sliced.select(group, "rep", at_home.alias("lives"), (F.col("slice") == F.col("own")).alias("looks"), "home", "copies", "v", F.when(at_home, F.col("visits")).alias("visits"))
     found = materialise(met.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_verify(threshold), "a long, b long, n long"))
     linked = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     groups = components(found.filter("b is not null").select("a", "b"))

@@ -1,4 +1,8 @@
+import heapq
+import tracemalloc
+
 import numpy as np
+import pytest
 
 from leafmill.llm import vectors
 
@@ -53,12 +57,58 @@ def test_crowded_cells_are_cut(spark, monkeypatch):
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
 
 
-def test_traversal_order():
+def multi_sequence(da, db, cells):
+    """The traversal with a heap, one row at a time."""
+    oa, ob = np.argsort(da, kind="stable"), np.argsort(db, kind="stable")
+    heap, pushed, out = [(da[oa[0]] + db[ob[0]], 0, 0)], {(0, 0)}, []
+    while heap and len(out) < cells:
+        _, i, j = heapq.heappop(heap)
+        out.append(int(oa[i]) * len(db) + int(ob[j]))
+        for p, q in ((i + 1, j), (i, j + 1)):
+            if p < len(oa) and q < len(ob) and (p, q) not in pushed:
+                pushed.add((p, q))
+                heapq.heappush(heap, (da[oa[p]] + db[ob[q]], p, q))
+    return out
+
+
+@pytest.mark.parametrize("codes,cells", [((5, 7), 35), ((5, 7), 6), ((12, 12), 9), ((1, 3), 2), ((40, 30), 100)])
+def test_traversal_order(codes, cells):
     rng = np.random.default_rng(5)
-    x = rng.standard_normal((64, 8))
-    index = vectors.fit(x / np.linalg.norm(x, axis=1, keepdims=True), codes=5)
-    ha, hb = vectors._halves(x, 8)
-    da, db = vectors._square_distances(ha, index.a), vectors._square_distances(hb, index.b)
-    full = vectors.MultiIndex(index.a, index.b, 8, 25).visited(x)
-    for i in range(64):
-        assert [a * len(index.b) + b for a, b in vectors.traverse(da[i], db[i], 25)] == full[i].tolist()
+    da, db = rng.random((50, codes[0])), rng.random((50, codes[1]))
+    got = vectors.traverse(da, db, cells)
+    for i in range(50):
+        assert got[i].tolist() == multi_sequence(da[i], db[i], cells)
+    where = got[:, cells // 2]
+    assert (vectors.reached_at(da, db, where // codes[1], where % codes[1]) == cells // 2).all()
+
+
+def test_memory_does_not_grow_with_the_grid():
+    rng = np.random.default_rng(6)
+    index = vectors.MultiIndex(rng.standard_normal((256, 16)), rng.standard_normal((256, 16)), 32, 40)
+    x = rng.standard_normal((10_000, 32))
+    tracemalloc.start()
+    index.visited(x)
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    sample = rng.standard_normal((4096, 32))
+    tracemalloc.start()
+    vectors.fit(sample / np.linalg.norm(sample, axis=1, keepdims=True), codes=256)
+    assert tracemalloc.get_traced_memory()[1] < 1e9
+    tracemalloc.stop()
+
+
+def test_recall_on_thousands_of_links(spark):
+    """Over 5000 rows with a partner at a cosine from 0.93 up, among as many others."""
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(rng.standard_normal((6000, 48)))
+    noise = rng.standard_normal((3000, 48))
+    noise = unit(noise - (noise * base[:3000]).sum(axis=1, keepdims=True) * base[:3000])
+    cos = rng.uniform(0.931, 0.99, (3000, 1))
+    x = np.concatenate([base, cos * base[:3000] + np.sqrt(1 - cos**2) * noise])
+    rows = [(i, v, 1) for i, v in enumerate(x.tolist())]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    found = {r.vec_id: r.n_links for r in got.collect()}
+    want = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert (want > 0).sum() >= 5000 and all(found[i] <= n for i, n in enumerate(want.tolist()))
+    assert sum(found.values()) >= 0.99 * want.sum()
