@@ -16,4 +16,4 @@ QUERIES = {
     "op9_vectors": vectors.op9_vectors,
     "op10_langid": langid.op10_langid,
 }
-ORACLE_SQL = {"op1_substring": substring.OP1_SQL, "op3_quality": quality.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op9_vectors": vectors.OP9_SQL}
+ORACLE_SQL = {"op1_substring": substring.OP1_SQL, "op3_quality": quality.OP3_SQL, "op4_tokens": tokens.OP4_SQL, "op6_mixing": mixing.OP6_SQL, "op9_vectors": vectors.OP9_SQL}

@@ -143,8 +143,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labels has the id and 0/1 columns named by targets; null labels and ids are not learned from, and of several labels
     of one id and target the largest counts. All labelled rows enter the site and path rates; about `sample` of them fit
     the linear models. A site or path without labels has its parent's rate; null site or path is a value of its own.
-    A null or empty text is judged by that and its site. Repeated rows are judged alike; without labels every
-    probability is a half. The site table is broadcast only while small."""
+    A null or empty text is judged by that and its site; a long text is read whole. Repeated rows are judged alike and
+    each counts; without labels every probability is a half. Rates are compared to nothing, so there are no ties; a caller
+    who cuts at a probability says on which side equality falls. Other columns of docs and labels are ignored, whatever
+    their names. An empty table gives no rows. The site table is broadcast only while small."""
     site = F.col("source") if site is None else site
     path = F.col("lang") if path is None else path
     base = docs.select(F.col(id_col).alias("id"), site.cast("string").alias("site"), path.cast("string").alias("path"), F.col(text_col).alias("text"))

@@ -50,6 +50,18 @@ def forget(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+_SHARED: dict[str, object] = {}
+
+
+def shared(key: str, make):
+    """One object for each worker process: what make() gave the first time under this key. Few are held at a time."""
+    if key not in _SHARED:
+        if len(_SHARED) >= 4:
+            _SHARED.clear()
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
 def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most `most` rows, else unchanged. df should be cheap to read again."""
     return F.broadcast(df) if len(df.limit(most + 1).take(most + 1)) <= most else df

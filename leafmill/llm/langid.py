@@ -7,6 +7,7 @@ it has none to 4-grams, and so on down to single characters; a word's grams coun
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -14,10 +15,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import materialise, table
+from leafmill.llm.common import forget, materialise, maybe_broadcast, shared, table
 
 UNKNOWN = "und"
 #: The model is fitted on about so many documents of each language, chosen by a hash of the id.
@@ -29,13 +31,14 @@ SMOOTHING = 0.5
 #: The score speaks for so many words of a text's mean evidence at most, so that long texts don't all score 1.
 EVIDENCE_WORDS = 8
 CACHE = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+ASCII_LETTERS = re.compile(r"[a-z]+")
+#: A letter and what follows of letters and combining marks; numbers that look like letters are neither.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower case. Number signs that Python counts as alphanumeric are no letters."""
-    found = LETTERS.findall(text.lower()) if text else []
-    return found if not text or text.isascii() else [w for w in found if w.isalpha()]
+    """Runs of letters and their marks, lower case."""
+    return (ASCII_LETTERS if text.isascii() else LETTERS).findall(text.lower()) if text else []
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -132,25 +135,31 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
-    """Fits on a sample of docs bounded by docs_per_language (about; a hash of the id decides). Rows without a text,
-    a language or an id are not learned from. The counts are summed on the executors; the model reaches the driver."""
-    usable = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("id is not null and lang is not null and text is not null")
-    sizes = usable.groupBy("lang").count().collect()
-    share = F.lit(0.0)
-    for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, docs_per_language / n))).otherwise(share)
-    sample = usable.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
+    """Fits on a sample of docs bounded by docs_per_language (about; a hash of the id decides, so rows of one id are
+    taken together). Rows without a text, a language or an id are not learned from; a row that comes twice counts twice;
+    a long text is read whole. Other columns are ignored, whatever their names. No rows give a model without languages.
+    The counts are summed on the executors; the model reaches the driver."""
+    usable = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("id is not null and lang is not null and text is not null")
+    shares = materialise(usable.groupBy(F.col("lang").alias("lang_")).agg(F.least(F.lit(1.0), F.lit(docs_per_language) / F.count("*")).alias("share")))
+    sample = usable.join(maybe_broadcast(shares), F.col("lang") == F.col("lang_")).filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, level int, gram string, n long").groupBy("lang", "level", "gram").agg(F.sum("n").alias("n"))
-    often = materialise(counts).filter(F.col("n") >= LEAST_COUNT)
-    return LanguageModel.of_counts(often.toArrow())
+    often = materialise(counts)
+    model = LanguageModel.of_counts(often.filter(F.col("n") >= LEAST_COUNT).toArrow())
+    forget(shares, often)
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, columns: list[str], text_col: str = "text") -> DataFrame:
     """columns of docs with lang_pred and score (0 to 1). A null text or one without a letter is `und` with score 0,
-    as is every text if the model has no language. Repeated rows are judged alike; nothing is shuffled."""
+    as is every text if the model has no language. Of languages that score alike the first by code point is taken. A
+    long text is scored whole, in slices. Repeated rows are judged alike. `columns` named lang_pred or score are
+    replaced, all others are carried whatever their names. An empty table gives no rows. Nothing is shuffled."""
+    columns = [c for c in columns if c not in ("lang_pred", "score")]
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    key = f"languages {uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.scorer()
+        score = shared(key, lambda: sent.value.scorer())
         for batch in batches:
             found = [score(t.as_py()) for t in batch.column(batch.num_columns - 1)]
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]

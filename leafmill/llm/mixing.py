@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every row gets a 60-bit hash of its id. Words are summed by source and leading hash bits; running sums over
+Every row gets a 60-bit hash of its id and text. Words are summed by source and leading hash bits; running sums over
 that histogram give the bucket in which a source's budget ends; only that bucket is read again, by its next
 bits, until the threshold is exact. The rows below the threshold are taken by a filter: nothing is sorted.
 """
@@ -20,9 +20,9 @@ HASH_BITS = 60
 LEVEL_BITS = 12
 
 
-def row_hash(id_col: Column) -> Column:
-    """60 bits of MD5, which other engines can compute too. A null id hashes as the empty string."""
-    return F.conv(F.substring(F.md5(F.coalesce(id_col.cast("string"), F.lit(""))), 1, HASH_BITS // 4), 16, 10).cast("long")
+def row_hash(id_col: Column, text_col: Column) -> Column:
+    """60 bits of MD5 over id and text, which other engines can compute too. Nulls hash as empty strings."""
+    return F.conv(F.substring(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit("|"), F.coalesce(text_col, F.lit("")))), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST_EPOCHS) -> DataFrame:
@@ -61,16 +61,37 @@ def _below(hist: DataFrame, budgets: DataFrame) -> DataFrame:
     return inside.select("source_rank", F.col("bucket").alias("edge"), (F.col("budget") - (F.col("cum_") - F.col("words"))).alias("budget"), "words", "n")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, most: float = MOST_EPOCHS) -> DataFrame:
-    """One row per row of docs: id, source, size, source_size, target, epochs (how often the row is taken), taken.
+def _refined(rows: DataFrame, column: str, budgets: DataFrame) -> tuple[DataFrame, int]:
+    """For each source the bucket of the column's leading bits in which its budget ends, refined until one row at most is
+    in each, and the number of bits that are left out."""
+    level, read, at = HASH_BITS - LEVEL_BITS, rows, budgets
+    while True:
+        hist = read.groupBy("source_rank", F.shiftright(column, level).alias("bucket")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+        edges = materialise(_below(hist, at))
+        if not level or not edges.filter("n > 1").limit(1).count():
+            return edges, level
+        read = rows.join(maybe_broadcast(edges.select("source_rank", "edge")), "source_rank").filter(F.shiftright(column, level) == F.col("edge")).drop("edge")
+        at, level = edges.select("source_rank", "budget"), level - LEVEL_BITS
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, most: float = MOST_EPOCHS, columns: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: id, source, size, source_size, target, epochs (how often the row is taken), taken, and
+    `columns` of docs (those that have one of these names are not carried).
 
     A source whose target is T and size S takes every row floor(T/S) times, and once more the rows whose hash is
     under the threshold at which their words come to T - floor(T/S)*S; the row at the edge is taken if that comes
-    nearer. Reruns agree. Null texts have size 0 and are taken like any other; a null source is a source; rows of
-    equal or null id share a hash and are taken together. An empty table gives no rows. Other columns are ignored."""
+    nearer. The hash is of id and text; rows that are equal in both, ties among them, are told apart by a number they get
+    when they are first written, so a source of equal rows meets its target too, and reruns agree but for which of
+    equal rows are taken. Null texts have size 0 and are taken like any other; a null source is a source, a null id is an
+    id. A long text is one row. An empty table gives no rows. The windows hold one row for each source."""
+    carried = [c for c in columns if c not in (id_col, "source", "size", "source_size", "target", "epochs", "taken")]
+    text = F.col(text_col)
     base = materialise(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")).withColumn("h", row_hash(F.col("id")))
-    )
+        docs.select(
+            F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(text).alias("size"), row_hash(F.col(id_col), text).alias("h"),
+            F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - HASH_BITS).alias("h2"), *[F.col(c).alias(f"c{i}_") for i, c in enumerate(carried)],
+        )
+    )
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = (
         source_targets(sizes, weights, most)
@@ -78,23 +99,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         .withColumn("budget", F.greatest(F.col("target") - F.col("rounds") * F.col("source_size"), F.lit(0.0)))
     )
     plan = materialise(plan)
-    rows = base.join(maybe_broadcast(plan.select("source", "source_rank")), base["source"].eqNullSafe(plan["source"])).select(base["id"], "source_rank", "size", "h")
-
-    level = HASH_BITS - LEVEL_BITS
-    hist = rows.groupBy("source_rank", F.shiftright("h", level).alias("bucket")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-    edges = materialise(_below(hist, plan.filter("budget > 0").select("source_rank", "budget")))
-    while level > 0 and edges.filter("n > 1").limit(1).count():
-        here = maybe_broadcast(edges.select("source_rank", "edge", "budget"))
-        finer = rows.join(here.select("source_rank", "edge"), "source_rank").filter(F.shiftright("h", level) == F.col("edge"))
-        level -= LEVEL_BITS
-        hist = finer.groupBy("source_rank", F.shiftright("h", level).alias("bucket")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-        edges = materialise(_below(hist, edges.select("source_rank", "budget")))
-    last = edges.select("source_rank", (F.col("edge") + F.when(2 * F.col("budget") >= F.col("words"), 1).otherwise(0)).alias("edge"))
-    final = materialise(plan.join(last, "source_rank", "left"))
-    once_more = F.coalesce((F.shiftright("h", level) < F.col("edge")).cast("int"), F.lit(0))
+    rows = base.join(maybe_broadcast(plan.select(F.col("source").alias("source_"), "source_rank")), F.col("source").eqNullSafe(F.col("source_"))).select("source_rank", "size", "h", "h2")
+    taken_if = F.when(2 * F.col("budget") >= F.col("words"), 1).otherwise(0)
+    edges, level = _refined(rows, "h", plan.filter("budget > 0").select("source_rank", "budget"))
+    upto, second = edges.select("source_rank", (F.col("edge") + taken_if).alias("edge")), F.lit(False)
+    if edges.filter("n > 1").limit(1).count():
+        # Equal rows at an edge: the budget ends among them.
+        equal = rows.join(maybe_broadcast(edges.select("source_rank", "edge")), "source_rank").filter(F.col("h") == F.col("edge")).drop("edge")
+        finer, low = _refined(equal, "h2", edges.select("source_rank", "budget"))
+        upto = edges.select("source_rank", "edge").join(finer.select("source_rank", (F.col("edge") + taken_if).alias("edge2")), "source_rank", "left")
+        second = (F.col("h") == F.col("edge")) & (F.shiftright("h2", low) < F.col("edge2"))
+    final = materialise(plan.join(upto, "source_rank", "left"))
+    once_more = F.coalesce(((F.shiftright("h", level) < F.col("edge")) | second).cast("int"), F.lit(0))
     out = base.join(maybe_broadcast(final.withColumnRenamed("source", "source_")), F.col("source").eqNullSafe(F.col("source_")))
     epochs = F.col("rounds") + once_more
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", epochs.alias("epochs"), (F.col("size") * epochs).alias("taken"))
+    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", epochs.alias("epochs"), (F.col("size") * epochs).alias("taken"), *[F.col(f"c{i}_").alias(c) for i, c in enumerate(carried)])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +124,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 with base as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-         cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15)) as bigint) as h
+         cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '')), 1, 15)) as bigint) as h,
+         row_number() over () as n
   from documents),
 src as (
   select source, sum(size) as source_size, row_number() over (order by source is null, source) - 1 as r from base group by source),
@@ -122,8 +142,7 @@ t as (
 p as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as rounds from t),
 q as (select *, greatest(target - rounds * source_size, 0) as budget from p),
 d as (
-  select base.*, q.source_size, q.target, q.rounds, q.budget, sum(size) over (partition by base.source order by h) as cum,
-         sum(size) over (partition by base.source, h) as own
+  select base.*, q.source_size, q.target, q.rounds, q.budget, sum(size) over (partition by base.source order by h, n) as cum, size as own
   from base join q on base.source is not distinct from q.source)
 select doc_id, size, source_size, target,
        cast(size * (rounds + case when budget > 0 and cum - own < budget and (cum <= budget or 2 * (budget - (cum - own)) >= own) then 1 else 0 end) as bigint) as taken

@@ -12,14 +12,17 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import table
+from leafmill.llm.common import shared, table
 
+#: Where the queries find a public vocabulary unless spark.leafmill.vocabulary names another.
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 #: What the vocabulary file itself says of its text: how words are cut, after NFC and lower case.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+RUN = regex.compile(r"\S+")
 WORD_END = 256
 CACHE = 500_000
 
@@ -32,7 +35,7 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def load_vocabulary(path: str = VOCABULARY, word_end: str = "</w>") -> list[tuple[int, ...]]:
+def load_vocabulary(path: str, word_end: str = "</w>") -> list[tuple[int, ...]]:
     """Every piece of the file as symbols: bytes, then WORD_END if it closes a word."""
     with open(path, encoding="utf-8") as f:
         names = json.load(f)["model"]["vocab"]
@@ -95,45 +98,121 @@ class Automaton:
         return found
 
 
-def counter(pieces: list[tuple[int, ...]]):
-    """A function text -> (words, tokens) that counts each different word once."""
-    automaton = Automaton(pieces)
+class Tokens:
+    """Counts a text's tokens, each different word once, and cuts texts into pieces of bounded count."""
 
-    class Known(dict):
-        def __missing__(self, word: str) -> int:
-            if len(self) > CACHE:
-                self.clear()
-            n = self[word] = automaton.count([*word.encode("utf-8", "surrogatepass"), WORD_END])
-            return n
+    def __init__(self, pieces: list[tuple[int, ...]]):
+        automaton = Automaton(pieces)
 
-    known = Known()
+        class Known(dict):
+            def __missing__(self, word: str) -> int:
+                if len(self) > CACHE:
+                    self.clear()
+                n = self[word] = automaton.count([*word.encode("utf-8", "surrogatepass"), WORD_END])
+                return n
 
-    def count(text: str | None) -> tuple[int, int]:
+        self.known = Known()
+
+    def count(self, text: str | None) -> tuple[int, int]:
+        """Words and tokens."""
         if not text:
             return 0, 0
         text = text if text.isascii() else unicodedata.normalize("NFC", text)
         words = WORDS.findall(text.lower())
-        return len(words), sum(map(known.__getitem__, words))
-
-    return count
-
-
-def count_tokens(docs: DataFrame, columns: list[str], text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """columns of docs with n_words and n_tokens of the whole text. A null or empty text has none. Nothing is shuffled;
-    the vocabulary (its size is the file's) is read by the driver and sent with the task."""
-    pieces = load_vocabulary(vocabulary)
+        return len(words), sum(map(self.known.__getitem__, words))
+
+    def cut(self, text: str | None, most: int) -> Iterator[tuple[int, int, int]]:
+        """(start, end, tokens) of pieces of `most` tokens at most, cut at white space; only a run of characters that has
+        more by itself is cut inside, after characters that cannot have more (a character has four bytes at most)."""
+        whole = self.count(text)[1]
+        if not whole:
+            return
+        if whole <= most:
+            yield 0, len(text), whole
+            return
+        start = end = held = 0
+        for m in RUN.finditer(text):
+            runs = [m.span()]
+            if self.count(m.group())[1] > most:
+                step = max(1, most // 4)
+                runs = [(at, min(at + step, m.end())) for at in range(m.start(), m.end(), step)]
+            for a, b in runs:
+                n = self.count(text[a:b])[1]
+                if held and held + n > most:
+                    yield start, end, held
+                    held = 0
+                if not held:
+                    start = a
+                end, held = b, held + n
+        if held:
+            yield start, end, held
+
+
+def tokens_of(path: str):
+    """A function for the workers that gives the Tokens of a vocabulary file; the driver reads the file, whose size
+    bounds what is sent, and each worker process builds the automaton once."""
+    pieces = load_vocabulary(path)
+    key = xxhash.xxh3_64_hexdigest(repr(pieces))
+    return lambda: shared(f"tokens {key}", lambda: Tokens(pieces))
+
+
+def count_tokens(docs: DataFrame, columns: list[str], vocabulary: str, text_col: str = "text") -> DataFrame:
+    """columns of docs with n_words and n_tokens of the whole text, however long. A null or empty text has none. Repeated
+    rows are counted alike. Of several pieces that match the longest is taken, so there are no ties. `columns` named
+    n_words or n_tokens are replaced by the counts, all others are carried whatever their names. An empty table gives no
+    rows. Nothing is shuffled."""
+    columns = [c for c in columns if c not in ("n_words", "n_tokens")]
+    tokens = tokens_of(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(pieces)
+        count = tokens().count
         for batch in batches:
             found = [count(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=[*columns, "n_words", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=[*columns, "n_words", "n_tokens"])
 
     chosen = docs.select(*columns, F.col(text_col).alias("text_to_count_"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in chosen.dtypes[:-1]), "n_words long", "n_tokens long"])
     return chosen.mapInArrow(run, schema)
 
 
+def vocabulary_path(spark: SparkSession) -> str:
+    return spark.conf.get("spark.leafmill.vocabulary", VOCABULARY)
+
+
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
+    return count_tokens(table(spark, sf_dir, "documents"), ["doc_id"], vocabulary_path(spark))
+
+
+#: The same counts by looking up, at each place of each different word, the longest piece that stands there. A byte's
+#: stand-in is the character of byte_alphabet(); the end of a word is written as chr(1).
+OP4_SQL = rf"""
+with recursive names as (
+  select unnest(json_keys(content::json, '$.model.vocab')) as name from read_text('{VOCABULARY}')),
+pieces as (
+  select distinct case when name like '%</w>' then name[: -5] || chr(1) else name end as piece from names where name <> '</w>'),
+longest as (select cast(max(length(piece)) as bigint) as most from pieces),
+alphabet as (
+  select list(chr(c) order by b) as chars
+  from (select b, case when b between 33 and 126 or b between 161 and 172 or b between 174 and 255 then cast(b as integer)
+                       else cast(255 + row_number() over (partition by b between 33 and 126 or b between 161 and 172 or b between 174 and 255 order by b) as integer) end as c
+        from (select cast(unnest(range(256)) as integer) as b))),
+base as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(lower(nfc_normalize(coalesce(text, ''))), '''s|''t|''re|''ve|''m|''ll|''d|\p{{L}}+|\p{{N}}|[^\s\p{{L}}\p{{N}}]+') as words
+  from documents),
+each as (select r, unnest(words) as word from base),
+known as (
+  select word, list_aggregate(list_transform(range(cast(octet_length(encode(word)) as bigint)),
+           lambda i: chars[cast('0x' || hex(encode(word))[2 * i + 1 : 2 * i + 2] as integer) + 1]), 'string_agg', '') || chr(1) as symbols
+  from (select distinct word from each), alphabet),
+walk as (
+  select word, symbols as rest, cast(0 as bigint) as n from known
+  union all
+  select word, rest[step + 1 :], n + 1
+  from (select w.word, w.rest, w.n, max(length(p.piece)) as step
+        from (select *, unnest(range(1, least(length(rest), (select most from longest)) + 1)) as k from walk where rest <> '') w
+        join pieces p on p.piece = w.rest[: w.k] group by w.word, w.rest, w.n)),
+counts as (select word, coalesce(max(n) filter (rest = ''), 1) as n from walk group by word)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(t.n, 0) as bigint) as n_tokens
+from base left join (select r, sum(n) as n from each join counts using (word) group by r) t using (r)
+"""

@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline as pipeline
+from leafmill.llm import packing, tokens
 
 
 def rows(seed=1):
@@ -30,7 +31,18 @@ def test_stages_take_effect(spark):
     assert 0 < d.count() and {r.doc_id for r in d.select("doc_id").collect()} <= set(kept)
     assert max(r["count"] for r in d.groupBy("doc_id").count().collect()) <= 3
     e = pipeline.packed(spark, d, "")
-    assert e.agg({"n_tokens": "sum"}).first()[0] == sum(len(r.text.split()) for r in d.collect())
+    count = tokens.Tokens(tokens.load_vocabulary(tokens.VOCABULARY)).count
+    assert e.agg({"n_tokens": "sum"}).first()[0] == sum(count(r.text)[1] for r in d.collect())
+    # Whole texts, however often they were mixed in, come back from the batches' own rows.
+    pieces = sorted((r.doc_id or -1, r.text) for r in e.collect())
+    assert pieces == sorted((r.doc_id or -1, r.text) for r in d.collect()) and max(count(t)[1] for _, t in pieces) <= packing.MAX_LEN
+
+
+def test_run_leaves_no_stage_behind(spark, tmp_path):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) == len({(r.batch_id, r.slot) for r in got}) > 0 and all(r.text for r in got)
 
 
 def test_empty_tables_pass(spark):
