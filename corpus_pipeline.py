@@ -1,12 +1,15 @@
-"""The training-data pipeline: five stages over documents, each written and read again before the next."""
+"""The training-data pipeline: five stages over documents, each written and read again before the next.
+
+A null or empty text, a repeated row and an id that comes twice have a defined way through every stage (see there); extra
+columns of documents are dropped by the first; an empty table passes all."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import langid, mixing, packing, simhash, substring
-from leafmill.llm.common import materialise
+from leafmill.llm import langid, mixing, packing, simhash, substring, tokens
+from leafmill.llm.common import forget, materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text whose best language has less than this of the fair share of evidence is rejected as no language.
@@ -45,15 +48,16 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).select("doc_id", "source", "epochs").filter("epochs > 0").groupBy("doc_id", "source").agg(F.max("epochs").alias("epochs_"))
-    taken = taken.select(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), "epochs_")
-    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("source").eqNullSafe(F.col("source_")))
-    return met.withColumn("again_", F.explode(F.sequence(F.lit(1), "epochs_"))).select(*COLUMNS)
+    """Each row as often as the mix takes it. Null texts and null sources are mixed like any other; of equal rows at the
+    edge of a source's budget any are taken."""
+    taken = mixing.mix(docs, columns=tuple(c for c in COLUMNS if c not in ("doc_id", "source"))).filter("epochs > 0")
+    return taken.withColumn("again_", F.explode(F.sequence(F.lit(1), "epochs"))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """Batches of pieces with their texts: (doc_id, piece, first_char, text, n_tokens, boundary, padding, batch_id, slot).
+    A row that the mix takes twice is two rows here, in batches of their own; null and empty texts have no piece."""
+    return packing.pack(docs, vocabulary=tokens.vocabulary_path(spark))
 
 
 STAGES = [
@@ -69,8 +73,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, one after the other."""
+    """The stages applied to documents, one after the other. What a stage has read is deleted after it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        before, docs = docs, materialise(stage(spark, docs, sf_dir))
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
