@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.cells import similar_pairs
+from leafmill.sources.scratch import forget, materialise
 
-def content_key(content: Column, digits: int = 12) -> Column:
-    """The first hex digits of SHA-256, by which equal contents are known."""
-    return F.substring(F.sha2(content, 256), 1, digits)
+
+def content_key(content: Column) -> Column:
+    """SHA-256, by which equal contents are known."""
+    return F.sha2(content, 256)
+
+
+def short_name(key: Column, digits: int = 12) -> Column:
+    """The first hex digits of a key: a name for people, never what decides identity."""
+    return F.substring(key, 1, digits)
 
 
 def keep_first(df: DataFrame, by: Sequence, order: Sequence) -> DataFrame:
@@ -44,9 +50,12 @@ def repeated_line_rule(text: Column, least: int = 12, repeats: float = 0.05, dig
     return F.coalesce(F.when(again > repeats, "repeats"), F.when(share > digits, "digits"), F.lit("ok"))
 
 
-def window_keys(text: Column, width: int = 60, offsets: Sequence[int] = (0, 200, 500)) -> Column:
-    """Fixed-width windows of the white-space-normalised text that fit into it."""
-    clean = F.trim(F.regexp_replace(text, r"\s+", " "))
+def window_keys(text: Column, width: int = 60, offsets: Sequence[int] = (0, 200, 500), prefix: int = 4096) -> Column:
+    """Fixed-width windows of the white-space-normalised text that fit into it. Only as much of the text is normalised as
+    the windows need; the whole only where its first `prefix` characters are mostly white space."""
+    normal = lambda t: F.trim(F.regexp_replace(t, r"\s+", " "))
+    head, need = normal(F.substring(text, 1, prefix)), max(offsets) + width
+    clean = F.when((F.length(text) <= prefix) | (F.length(head) > need), head).otherwise(normal(text))
     return F.filter(F.array(*[F.when(F.length(clean) >= o + width, F.substring(clean, o + 1, width)) for o in offsets]), lambda w: w.isNotNull())
 
 
@@ -61,51 +70,52 @@ def later_overlaps(df: DataFrame, id_col: str, text_col: str, width: int = 60, o
 def subset_pairs(members: DataFrame, doc: str, item: str) -> DataFrame:
     """Pairs of documents in which all items of the smaller are in the larger: (small, large, shared).
 
-    Items in very many documents are joined like any other; pair counts are summed before they are compared."""
+    The larger one has the smaller one's rarest item, so they meet by that and no pair is made by a common item alone;
+    then the items themselves are compared. Of equal sets the later document is the smaller."""
     m = members.select(F.col(doc).alias("d"), F.col(item).alias("i")).distinct()
-    size = m.groupBy("d").agg(F.count("*").alias("n"))
-    other = m.select(F.col("d").alias("e"), "i")
-    pairs = m.join(other, "i").filter(F.col("d") != F.col("e")).groupBy("d", "e").agg(F.count("*").alias("shared"))
-    large = size.select(F.col("d").alias("e"), F.col("n").alias("m"))
-    held = pairs.join(size, "d").join(large, "e").filter((F.col("shared") == F.col("n")) & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("d") > F.col("e")))))
-    return held.select(F.col("d").alias("small"), F.col("e").alias("large"), "shared")
+    sets = m.groupBy("d").agg(F.collect_list("i").alias("items"))
+    often = m.groupBy("i").agg(F.count("*").alias("n"))
+    rarest = m.join(often, "i").groupBy("d").agg(F.min(F.struct("n", "i")).alias("r")).filter("r.n > 1").select("d", F.col("r.i").alias("i"))
+    met = rarest.join(m.select(F.col("d").alias("e"), "i"), "i").filter("d != e").select("d", "e")
+    met = met.join(sets, "d").join(sets.select(F.col("d").alias("e"), F.col("items").alias("others")), "e")
+    n, k = F.size("items"), F.size("others")
+    held = met.filter(((n < k) | ((n == k) & (F.col("d") > F.col("e")))) & (F.size(F.array_except("items", "others")) == 0))
+    return held.select(F.col("d").alias("small"), F.col("e").alias("large"), n.cast("long").alias("shared"))
 
 
 def greedy_near_duplicates(df: DataFrame, cluster: str, id_col: str, vector: str, prefer: Sequence[str], similarity: float = 0.95) -> DataFrame:
-    """In order of `prefer`, a row goes if its cosine to an earlier kept row of its cluster exceeds the threshold.
-
-    Sequential inside a cluster, so one task has one cluster; clusters must be cut to a size that a task can hold."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*prefer, id_col], kind="stable")
-        x = np.array(pdf[vector].tolist(), dtype=np.float64)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-        kept: list[int] = []
-        flags = []
-        for i in range(len(x)):
-            near = bool(kept) and bool((x[kept] @ x[i] > similarity).any())
-            flags.append(not near)
-            if not near:
-                kept.append(i)
-        return pd.DataFrame({id_col: pdf[id_col].to_numpy(), "kept": flags})
-
-    kind = dict(df.dtypes)[id_col]
-    return df.select(cluster, id_col, vector, *[c for c in prefer if c not in (cluster, id_col, vector)]).groupBy(cluster).applyInPandas(run, f"`{id_col}` {kind}, kept boolean")
+    """(id, kept): in order of `prefer` and id, a row goes if its cosine to an earlier kept row of its cluster exceeds the
+    threshold. Rows of a null cluster are kept.
+
+    The similar pairs are found cell by cell; then rounds over the pairs decide: a row with no earlier partner left is
+    kept, its later partners go. No cluster is ever one task's."""
+    keys = df.select(F.col(id_col).cast("long").alias("i"), F.struct(*prefer, F.col(id_col)).alias("o"))
+    pairs = similar_pairs(df, id_col, vector, similarity, cluster).filter("a < b")
+    met = pairs.join(keys.select(F.col("i").alias("a"), F.col("o").alias("oa")), "a").join(keys.select(F.col("i").alias("b"), F.col("o").alias("ob")), "b")
+    early = F.col("oa") < F.col("ob")
+    left = materialise(met.select(F.when(early, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(early, F.col("b")).otherwise(F.col("a")).alias("y")))
+    gone = None
+    while left.limit(1).count():
+        first = left.select("x").distinct().join(left.select(F.col("y").alias("x")).distinct(), "x", "left_anti")
+        out = materialise(left.join(first, "x", "left_semi").select("y").distinct())
+        gone = out if gone is None else gone.unionAll(out)
+        dropped = out.select(F.col("y").alias("x"))
+        before, left = left, materialise(left.join(first, "x", "left_anti").join(dropped, "x", "left_anti").join(out, "y", "left_anti"))
+        forget(before)
+    if gone is None:
+        return df.select(id_col, F.lit(True).alias("kept"))
+    marked = gone.select(F.col("y").alias("y_"), F.lit(False).alias("kept_"))
+    return df.select(id_col).join(marked, F.col(id_col).cast("long") == F.col("y_"), "left").select(id_col, F.coalesce("kept_", F.lit(True)).alias("kept"))
 
 
 def linked_groups(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, group): each node of the links and the least node it reaches, by alternating large and small stars until
     nothing changes; the number of rounds is logarithmic in the longest path. A node linked only to itself is a group.
 
-    Each round is written to the reliable checkpoint folder, which cuts its lineage."""
-    spark = edges.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafmill-"))
-    given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null").checkpoint()
+    Each round is written to the shared folder, which cuts its lineage."""
+    given = materialise(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null"))
     nodes = given.select("u").unionAll(given.select("v")).distinct().withColumnRenamed("u", "node")
-    now = given.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).filter("a < b").distinct().checkpoint()
+    now = materialise(given.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).filter("a < b").distinct())
     while True:
         # Large star: every larger neighbour goes to the least of a node and its neighbours.
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -114,8 +124,9 @@ def linked_groups(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: a node and its smaller neighbours go to the least of them.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         moved = large.join(least, "b").select("m", F.col("a").alias("v")).unionAll(least.select("m", F.col("b").alias("v")))
-        after = moved.filter("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct().checkpoint()
+        after = materialise(moved.filter("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct())
         same = not after.exceptAll(now).limit(1).count() and not now.exceptAll(after).limit(1).count()
+        forget(now)
         now = after
         if same:
             break

@@ -1,20 +1,12 @@
-"""Joins beyond equality: nearest, k nearest, containment, overlap, greedy one-to-one.
-
-Vectors are arrays. References travel to the executors in blocks that a task can hold; queries stay where they are."""
+"""Joins beyond equality: nearest, k nearest, containment, overlap, greedy one-to-one. Vectors are arrays."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: References that are sent to every task; beyond so many the reference side is dealt out in blocks.
-MOST_SENT = 200_000
-BLOCK = 20_000
+from leafmill.operators.cells import k_nearest
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -22,63 +14,18 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
-def _units(column) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = flat.reshape(len(column), -1)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-
-
-def k_nearest(queries: DataFrame, refs: DataFrame, id_col: str, vector: str, k: int, drop_self: bool = True) -> DataFrame:
-    """(src, rank, dst, similarity): the k most similar references of each query by cosine, ties by reference id.
-
-    References in blocks: each block is collected once and sent to the tasks, which keep the k best of it; the blocks'
-    winners are merged by a window over k rows for each block. Nothing larger than a block is ever held."""
-    spark = queries.sparkSession
-    n = refs.count()
-    blocks = max(1, -(-n // BLOCK))
-    cut = refs.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("block"))
-    found = None
-    for b in range(blocks):
-        table = (cut.filter(F.col("block") == b) if blocks > 1 else cut).select("id", "v").toArrow().combine_chunks()
-        if not table.num_rows:
-            continue
-        ids = table.column("id").to_numpy()
-        held = spark.sparkContext.broadcast((ids, _units(table.column("v").combine_chunks())))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            ids, x = held.value
-            order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], x[order]
-            for batch in batches:
-                src = batch.column(0).to_numpy(zero_copy_only=False)
-                q = _units(batch.column(1))
-                for s in range(0, len(src), 512):
-                    sims = np.round(q[s : s + 512] @ x.T, 12)
-                    if drop_self:
-                        sims[src[s : s + 512, None] == ids[None, :]] = -np.inf
-                    m = min(k, sims.shape[1])
-                    top = np.argsort(-sims, axis=1, kind="stable")[:, :m]
-                    best = np.take_along_axis(sims, top, axis=1)
-                    fine = np.isfinite(best)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(src[s : s + 512], m)[fine.ravel()]), pa.array(ids[top][fine]), pa.array(best[fine])], names=["src", "dst", "similarity"])
-
-        part = queries.select(F.col(id_col).cast("long"), vector).mapInArrow(run, "src long, dst long, similarity double")
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        return spark.createDataFrame([], "src long, rank int, dst long, similarity double")
-    w = Window.partitionBy("src").orderBy(F.desc("similarity"), "dst")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("src", "rank", "dst", "similarity")
-
-
 def nearest(queries: DataFrame, refs: DataFrame, id_col: str, vector: str, drop_self: bool = True) -> DataFrame:
     return k_nearest(queries, refs, id_col, vector, 1, drop_self).select("src", "dst", "similarity")
 
 
 def contained(small: DataFrame, large: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs in which the first array's elements are all in the second: joined by one element, then tested."""
-    left = small.withColumn("k_", F.array_min(a))
+    """Pairs in which the first array's elements are all in the second. They meet by the element of the first that the
+    fewest of the second have, so a common element is nobody's key unless there is no other; then they are tested."""
     right = large.withColumn("k_", F.explode(F.array_distinct(F.col(b))))
-    return left.join(right, "k_").filter(F.size(F.array_except(a, b)) == 0).drop("k_")
+    many = right.groupBy(F.col("k_").alias("e_")).agg(F.count("*").alias("n_"))
+    known = small.withColumn("row_", F.struct(*[F.col(c) for c in small.columns])).select("row_", F.explode(F.array_distinct(F.col(a))).alias("e_"))
+    rarest = known.join(many, "e_", "left").groupBy("row_").agg(F.min(F.struct(F.coalesce("n_", F.lit(0)).alias("n"), F.col("e_").alias("e")))["e"].alias("k_"))
+    return rarest.select("row_.*", "k_").join(right, "k_").filter(F.size(F.array_except(a, b)) == 0).drop("k_")
 
 
 def overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:

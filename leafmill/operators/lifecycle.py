@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranking import in_order
+
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], replace: bool = True) -> DataFrame:
     """Insert-or-replace (new rows win) or insert-or-ignore (old rows win) by key."""
@@ -23,7 +25,7 @@ def assign_ids(known: DataFrame, new: DataFrame, key: str, id_col: str) -> DataF
     """Ids above the greatest known one, in key order, for keys that have none; known ids never change."""
     top = known.agg(F.coalesce(F.max(id_col), F.lit(-1)).alias("top_"))
     fresh = new.select(key).distinct().join(known.select(key), key, "left_anti")
-    numbered = fresh.withColumn("r_", F.row_number().over(Window.orderBy(key)))
+    numbered = in_order(fresh, [key], "r_")
     return numbered.crossJoin(F.broadcast(top)).select(key, (F.col("top_") + F.col("r_")).cast("long").alias(id_col))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.sources.scratch import materialise
+
 
 def place(by: Sequence[str], order: Sequence) -> Column:
     """0-based place inside the group, in an explicit order."""
@@ -21,6 +23,8 @@ def head(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame
 def round_robin(df: DataFrame, turn: str, order: Sequence, n: int, within: Sequence[str] = ()) -> DataFrame:
     """Groups in turn: first rows of all, then second rows, until n rows of each `within` are taken."""
     dealt = df.withColumn("turn_", F.row_number().over(Window.partitionBy(*within, turn).orderBy(*order)))
+    if not within:
+        return running_over_all(dealt.filter(F.col("turn_") <= n), F.col("turn_"), ["turn_", turn], out="pick").filter(F.col("pick") <= n).drop("turn_")
     return dealt.filter(F.col("turn_") <= n).withColumn("pick", F.row_number().over(Window.partitionBy(*within).orderBy("turn_", turn))).filter(F.col("pick") <= n).drop("turn_")
 
 
@@ -30,11 +34,12 @@ def fair_blocks(df: DataFrame, host: str, key: str, block: int = 4) -> DataFrame
     return df.withColumn("block", F.floor(at / block).cast("int")).withColumn("host_hash", F.md5(host)).withColumn("key_hash", F.md5(key))
 
 
-def value_bucket(df: DataFrame, column: str, buckets: int = 1024) -> Column:
+def value_bucket(df: DataFrame, column: str | Column, buckets: int = 1024) -> Column:
     """A number that grows with a numeric column and cuts the rows about evenly: places among approximate quantiles."""
-    edges = df.agg(F.percentile_approx(column, [i / buckets for i in range(1, buckets)], 10_000).alias("e")).first().e
+    value = F.col(column) if isinstance(column, str) else column
+    edges = df.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000).alias("e")).first().e
     edges = F.lit(sorted(set(edges or [])))
-    return F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(column))), F.lit(-1))
+    return F.coalesce(F.size(F.filter(edges, lambda e: e < value)), F.lit(-1))
 
 
 def hash_bucket(hexed: Column) -> Column:
@@ -55,6 +60,14 @@ def running_over_all(df: DataFrame, bucket: Column, order: Sequence, value: Colu
     return rows.join(F.broadcast(starts), "bucket_").withColumn(out, F.col("start_") + own).drop("bucket_", "value_", "start_")
 
 
+def in_order(df: DataFrame, order: Sequence, out: str = "place") -> DataFrame:
+    """Row numbers from 1 over the whole table in an order of any type: rows are dealt into ranges and written, so that
+    the ranges stay what they are, then numbered range by range."""
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = materialise(df.repartitionByRange(parts, *order).withColumn("range_", F.spark_partition_id()))
+    return running_over_all(dealt, F.col("range_"), order, out=out).drop("range_")
+
+
 def percentile_rank_over_all(df: DataFrame, column: str, out: str = "pct") -> DataFrame:
     """percentile_rank over a whole table: ranks come from counts of the different values, joined back."""
     counts = df.groupBy(column).agg(F.count("*").alias("n_"))

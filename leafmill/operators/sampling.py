@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators.ranking import hash_bucket, running_over_all, value_bucket
+from leafmill.operators.ranking import hash_bucket, in_order, running_over_all, value_bucket
+from leafmill.sources.scratch import materialise
 
 
 def hashed(key: Column, seed: str = "") -> Column:
@@ -66,23 +67,23 @@ def fraction_split(df: DataFrame, key: str, test: float, val: float, seed: str)
 
 def group_split(df: DataFrame, group: str, val: float, test: float, seed: str) -> DataFrame:
     """Whole groups in hashed order go to val until it has its share (it may overshoot), then to test, the rest to train."""
-    sizes = df.groupBy(group).agg(F.count("*").alias("n_"))
-    w = Window.orderBy(*shuffle_order(group, seed)).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("n_").over(Window.partitionBy())
-    before = F.coalesce(F.sum("n_").over(w), F.lit(0))
-    marked = sizes.withColumn("before_", before).withColumn("total_", total).withColumn("val_", F.col("before_") < F.col("total_") * val)
-    ends = F.sum(F.when(F.col("val_"), F.col("n_")).otherwise(0)).over(Window.partitionBy())
-    part = F.when(F.col("val_"), "val").when(F.col("before_") - ends < F.col("total_") * test, "test").otherwise("train")
-    return df.join(marked.select(group, part.alias("part")), group)
+    sizes = df.groupBy(F.col(group).alias("g_")).agg(F.count("*").alias("n_"))
+    ranked = running_over_all(sizes, hash_bucket(hashed(F.col("g_"), seed)), shuffle_order("g_", seed), F.col("n_"), "upto_")
+    rows = ranked.withColumn("before_", F.col("upto_") - F.col("n_")).crossJoin(F.broadcast(sizes.agg(F.sum("n_").alias("total_"))))
+    rows = materialise(rows.withColumn("val_", F.col("before_") < F.col("total_") * val))
+    ends = rows.agg(F.coalesce(F.sum(F.when(F.col("val_"), F.col("n_"))), F.lit(0)).alias("ends_"))
+    part = F.when(F.col("val_"), "val").when(F.col("before_") - F.col("ends_") < F.col("total_") * test, "test").otherwise("train")
+    marked = rows.crossJoin(F.broadcast(ends)).select("g_", part.alias("part"))
+    return df.join(marked, F.col(group) == F.col("g_")).drop("g_")
 
 
 def every_kth(df: DataFrame, group: str, n_eval: int) -> DataFrame:
     """Every k-th of the sorted groups is held out, k = max(n div n_eval, 1), the first n_eval of them."""
-    groups = df.select(group).distinct()
-    n = F.count("*").over(Window.partitionBy())
-    k = F.greatest(F.floor(n / n_eval), F.lit(1))
-    at = F.row_number().over(Window.orderBy(group)) - 1
-    return df.join(groups.withColumn("held_out", (F.pmod(at, k) == 0) & (at / k < n_eval)), group)
+    groups = df.select(F.col(group).alias("g_")).distinct()
+    placed = in_order(groups, ["g_"], "at_").crossJoin(F.broadcast(groups.agg(F.count("*").alias("n_"))))
+    k, at = F.greatest(F.floor(F.col("n_") / n_eval), F.lit(1)), F.col("at_") - 1
+    held = placed.select("g_", ((F.pmod(at, k) == 0) & (at / k < n_eval)).alias("held_out"))
+    return df.join(held, F.col(group) == F.col("g_")).drop("g_")
 
 
 def oversampled(df: DataFrame, strata: Sequence[str], key: str, need: Column, factor: int, seed: str = "") -> DataFrame:

@@ -16,28 +16,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators.joins import _units, k_nearest, nearest
+from leafmill.operators.cells import counts_within, k_nearest, units
+from leafmill.operators.joins import nearest
+from leafmill.sources.scratch import forget, materialise, maybe_broadcast
 
 
-def density(df: DataFrame, refs: DataFrame, id_col: str, vector: str, r: float = 0.2, block: int = 20_000) -> DataFrame:
-    """(id, density): share of the references within cosine distance r, counted block by block of references."""
-    spark = df.sparkSession
-    n = refs.count()
-    blocks = max(1, -(-n // block))
-    cut = refs.select(F.col(id_col).alias("i"), F.col(vector).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("b"))
-    parts = None
-    for b in range(blocks):
-        held = spark.sparkContext.broadcast(_units(cut.filter(F.col("b") == b).select("v").toArrow().column("v").combine_chunks()))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x = _units(batch.column(1))
-                near = np.concatenate([(np.round(x[s : s + 512] @ held.value.T, 12) >= 1 - r).sum(axis=1) for s in range(0, len(x), 512)] or [np.zeros(0, dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(near.astype(np.int64))], names=[id_col, "near"])
-
-        one = df.select(id_col, vector).mapInArrow(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, near long")
-        parts = one if parts is None else parts.unionAll(one)
-    return parts.groupBy(id_col).agg((F.sum("near") / F.lit(n)).alias("density"))
+def density(df: DataFrame, refs: DataFrame, id_col: str, vector: str, r: float = 0.2) -> DataFrame:
+    """(id, density): share of the references nearer than cosine distance r."""
+    whole = refs.agg(F.greatest(F.count("*"), F.lit(1)).alias("n_"))
+    return counts_within(df, refs, id_col, vector, r).crossJoin(F.broadcast(whole)).select(id_col, (F.col("near") / F.col("n_")).alias("density"))
 
 
 def farthest_points(df: DataFrame, id_col: str, vector: str, k: int, start: int | None = None, batch: int = 1, chosen: DataFrame | None = None) -> DataFrame:
@@ -45,32 +32,32 @@ def farthest_points(df: DataFrame, id_col: str, vector: str, k: int, start: int
 
     A round is one distributed pass that keeps each row's distance to the set; with batch > 1 a round picks the `batch`
     farthest rows at once. With `chosen`, a bounded table of vectors, these are the set to begin with, and all k rows
-    are far from them too. Picked rows are never picked again and k is bounded by the rows. The distances are kept in a
-    checkpointed table, so a lost executor repeats one round."""
+    are far from them too. Picked rows are never picked again and k is bounded by the rows. The distances are written to
+    the shared folder now and then, so a lost executor repeats few rounds."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"))
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafmill-"))
     first = rows.orderBy("id") if start is None else rows.filter(F.col("id") == start)
     given = [] if chosen is None else chosen.select(F.lit(None).cast("long").alias("id"), F.col(vector).alias("v")).collect()
     new = given or first.limit(1).collect()
     picks = [] if given else [(r.id, 0, 2.0) for r in new]
-    state = rows.withColumn("d", F.lit(2.0))
+    state, written, since = rows.withColumn("d", F.lit(2.0)), None, 0
     while new and len(picks) < k:
-        held = _units(pa.array([list(map(float, r.v)) for r in new], pa.list_(pa.float64())))
+        held = units(pa.array([list(map(float, r.v)) for r in new], pa.list_(pa.float64())))
         gone = [r.id for r in new if r.id is not None]
 
         def closer(batches: Iterator[pa.RecordBatch], held=held, gone=gone) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                d = np.minimum(b.column(2).to_numpy(zero_copy_only=False), np.round(1 - (_units(b.column(1)) @ held.T).max(axis=1, initial=-1.0), 12)) if b.num_rows else np.zeros(0)
+                d = np.minimum(b.column(2).to_numpy(zero_copy_only=False), np.round(1 - (units(b.column(1)) @ held.T).max(axis=1, initial=-1.0), 12)) if b.num_rows else np.zeros(0)
                 d[np.isin(b.column(0).to_numpy(zero_copy_only=False), gone)] = -1.0
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d)], names=["id", "v", "d"])
 
         state = state.mapInArrow(closer, state.schema)
-        if len(picks) % 16 < len(new):
-            state = state.checkpoint()
+        since += 1
+        if since == 8:
+            before, written, since = written, materialise(state), 0
+            state = written
+            if before is not None:
+                forget(before)
         new = state.filter("d >= 0").orderBy(F.desc("d"), "id").limit(min(batch, k - len(picks))).collect()
         picks += [(r.id, len(picks) + i, float(r.d)) for i, r in enumerate(new)]
     return spark.createDataFrame(picks, "id long, pick int, distance double").withColumnRenamed("id", id_col)
@@ -103,18 +90,28 @@ def insertion_radii(ids, x, _):
 
 
 def thin_to(q: int):
-    """Removes the row with the closest neighbour (ties the later row) until q are left."""
+    """Removes the row with the closest neighbour (ties the later row) until q are left. Only each row's nearest
+    neighbour is held; it is looked for again when that one goes, so memory is in proportion to the rows."""
 
     def choose(ids, x, _):
-        d = np.round(1 - x @ x.T, 12)
-        np.fill_diagonal(d, np.inf)
         alive = np.ones(len(x), dtype=bool)
-        while alive.sum() > q:
-            near = np.where(alive, d.min(axis=1), np.inf)
-            least = near.min()
-            out = int(np.nonzero(near == least)[0].max())
+        near, to = np.full(len(x), np.inf), np.full(len(x), -1)
+
+        def look(rows: np.ndarray) -> None:
+            for s in range(0, len(rows), 256):
+                part = rows[s : s + 256]
+                d = np.round(1 - x[part] @ x.T, 12)
+                d[:, ~alive] = np.inf
+                d[np.arange(len(part)), part] = np.inf
+                to[part] = d.argmin(axis=1)
+                near[part] = d[np.arange(len(part)), to[part]]
+
+        look(np.arange(len(x)))
+        for _ in range(len(x) - q):
+            out = int(np.nonzero(near == near[alive].min())[0].max())
             alive[out] = False
-            d[out], d[:, out] = np.inf, np.inf
+            near[out] = np.inf
+            look(np.nonzero(alive & (to == out))[0])
         return ids[alive], np.zeros(int(alive.sum()))
 
     return choose
@@ -162,7 +159,7 @@ def stratified_farthest(df: DataFrame, strata: Sequence[str], id_col: str, vecto
             at = int(np.argmax(near))
         return ids[order], np.arange(n)
 
-    return per_cluster(df.join(F.broadcast(quotas), list(strata)), strata, id_col, vector, choose, ["quota"]).withColumnRenamed("value", "pick")
+    return per_cluster(df.join(maybe_broadcast(quotas), list(strata)), strata, id_col, vector, choose, ["quota"]).withColumnRenamed("value", "pick")
 
 
 def coverage(df: DataFrame, selected: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -238,7 +235,7 @@ def text_scores(df: DataFrame, id_col: str, vector: str, texts: DataFrame, name:
     from leafmill.operators.joins import cosine
 
     half = F.slice(F.col(vector), F.lit(1), (F.size(vector) / 2).cast("int"))
-    return df.select(id_col, half.alias("h_")).crossJoin(F.broadcast(texts.select(name, F.col(text_vector).alias("t_")))).select(id_col, name, cosine(F.col("h_"), F.col("t_")).alias("score"))
+    return df.select(id_col, half.alias("h_")).crossJoin(maybe_broadcast(texts.select(name, F.col(text_vector).alias("t_")))).select(id_col, name, cosine(F.col("h_"), F.col("t_")).alias("score"))
 
 
 def neighbour_agreement(a: DataFrame, b: DataFrame, id_col: str, vector: str, k: int = 10) -> DataFrame:
@@ -273,7 +270,7 @@ def prune_by_density(df: DataFrame, id_col: str, vector: str, n: int, k: int, te
     far = rows.join(F.broadcast(table), "cluster").withColumn("d_", F.round(1 - cosine(F.col(vector), F.col("centre")), 12))
     groups = far.groupBy("cluster").agg((F.first("inter") * F.avg("d_") / temperature).alias("score"), F.count("*").alias("size"))
     quota = softmax_quota(groups, "score", "size", n, ["cluster"]).select("cluster", "quota")
-    placed = far.join(F.broadcast(quota), "cluster").withColumn("r_", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("d_"), id_col)))
+    placed = far.join(maybe_broadcast(quota), "cluster").withColumn("r_", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("d_"), id_col)))
     return placed.filter(F.col("r_") <= F.col("quota")).select(id_col, "cluster")
 
 
@@ -289,7 +286,7 @@ def hierarchical_sample(df: DataFrame, id_col: str, vector: str, n: int, fine: i
     top = water_level(leaves.groupBy("top").agg(F.sum("n").alias("s")), "s", F.lit(n), ["top"], out="tq").select("top", "tq")
     quota = water_level(leaves.join(top, "top"), "n", F.col("tq"), ["leaf"], by=["top"]).select("leaf", "quota")
     at = F.row_number().over(Window.partitionBy("leaf").orderBy(F.md5(F.col(id_col).cast("string")), id_col))
-    return placed.join(F.broadcast(quota), "leaf").withColumn("r_", at).filter(F.col("r_") <= F.col("quota")).select(id_col, "top", "leaf")
+    return placed.join(maybe_broadcast(quota), "leaf").withColumn("r_", at).filter(F.col("r_") <= F.col("quota")).select(id_col, "top", "leaf")
 
 
 def landings(new: DataFrame, points: DataFrame, id_col: str, vector: str, radius: float) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranking import running_over_all, value_bucket
+from leafmill.sources.scratch import maybe_broadcast
+
 
 def top_shares(df: DataFrame, by: Sequence[str], value: str, n: int) -> DataFrame:
     """"value share%" of the n most frequent values of each group, as one text."""
@@ -80,14 +83,14 @@ def classification_report(df: DataFrame, truth: str, found: str) -> DataFrame:
 def mass_set(df: DataFrame, value: str, share: float) -> DataFrame:
     """The most frequent values until their running share reaches `share` (the one that reaches it included)."""
     counts = df.groupBy(value).agg(F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("n"), value)
-    before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.withColumn("before_", before).withColumn("t_", F.sum("n").over(Window.partitionBy())).filter(F.col("before_") < share * F.col("t_")).select(value, "n")
+    ranked = running_over_all(counts, value_bucket(counts, (-F.col("n")).cast("double")), [F.desc("n"), value], F.col("n"), "upto_")
+    total = counts.agg(F.sum("n").alias("t_"))
+    return ranked.crossJoin(F.broadcast(total)).filter(F.col("upto_") - F.col("n") < share * F.col("t_")).select(value, "n")
 
 
 def short_cells(df: DataFrame, a: str, b: str, least: int) -> DataFrame:
     """Full grid of two columns' values with counts and what is missing to `least`, short cells only."""
-    grid = df.select(a).distinct().crossJoin(F.broadcast(df.select(b).distinct()))
+    grid = df.select(a).distinct().crossJoin(maybe_broadcast(df.select(b).distinct()))
     counts = df.groupBy(a, b).agg(F.count("*").alias("n"))
     out = grid.join(counts, [a, b], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.withColumn("need", F.greatest(F.lit(least) - F.col("n"), F.lit(0))).filter("need > 0")
@@ -96,11 +99,16 @@ def short_cells(df: DataFrame, a: str, b: str, least: int) -> DataFrame:
 def post_weights(df: DataFrame, cls: str, stratum: str, corpus: DataFrame) -> DataFrame:
     """Weight of a row: corpus share of its stratum over the stratum's share inside the class (unseen strata one of
     all), class totals restored, classes balanced, mean one. corpus: (stratum, share)."""
-    w_cell, w_cls, w_all = Window.partitionBy(cls, stratum), Window.partitionBy(cls), Window.partitionBy()
-    rows = df.join(F.broadcast(corpus.select(stratum, "share")), stratum, "left").withColumn("n_", F.count("*").over(w_all))
-    rows = rows.withColumn("raw_", F.coalesce("share", 1 / F.col("n_")) / (F.count("*").over(w_cell) / F.count("*").over(w_cls)))
-    balanced = F.col("raw_") / F.sum("raw_").over(w_cls)
-    return rows.withColumn("b_", balanced).withColumn("weight", F.col("b_") * F.col("n_") / F.sum("b_").over(w_all)).drop("share", "n_", "raw_", "b_")
+    cells = df.groupBy(F.col(cls).alias("c_"), F.col(stratum).alias("s_")).agg(F.count("*").alias("n_"))
+    cells = cells.join(maybe_broadcast(corpus.select(F.col(stratum).alias("t_"), "share")), F.col("s_") == F.col("t_"), "left")
+    classes = cells.groupBy(F.col("c_").alias("k_")).agg(F.sum("n_").alias("of_class"))
+    whole = classes.agg(F.sum("of_class").alias("all_"), F.count("*").alias("classes_"))
+    raw = F.coalesce("share", 1 / F.col("all_")) / (F.col("n_") / F.col("of_class"))
+    cells = cells.join(classes, F.col("c_").eqNullSafe(F.col("k_"))).crossJoin(F.broadcast(whole)).withColumn("raw_", raw)
+    # The weights of a class come to one before they are scaled to a mean of one.
+    sums = cells.groupBy(F.col("c_").alias("g_")).agg(F.sum(F.col("raw_") * F.col("n_")).alias("sum_"))
+    cells = cells.join(sums, F.col("c_").eqNullSafe(F.col("g_"))).select("c_", "s_", (F.col("raw_") / F.col("sum_") * F.col("all_") / F.col("classes_")).alias("weight"))
+    return df.join(cells, F.col(cls).eqNullSafe(F.col("c_")) & F.col(stratum).eqNullSafe(F.col("s_"))).drop("c_", "s_")
 
 
 def z_scores(df: DataFrame, columns: Sequence[str], clip: float = 5.0) -> DataFrame:

@@ -28,20 +28,21 @@ def docs(spark, d):
 # Deduplication
 
 
-@query("exact_dup_groups", "select substr(sha256(text), 1, 12) as key, count(*) as n, min(doc_id) as first_doc from documents group by 1 having count(*) > 1")
+@query("exact_dup_groups", "select substr(sha256(text), 1, 12) as key, count(*) as n, min(doc_id) as first_doc from documents group by sha256(text) having count(*) > 1")
 def exact_dup_groups(spark, d):
-    return docs(spark, d).groupBy(dedup.content_key(F.col("text")).alias("key")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
+    groups = docs(spark, d).groupBy(dedup.content_key(F.col("text")).alias("full")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
+    return groups.select(dedup.short_name(F.col("full")).alias("key"), "n", "first_doc")
 
 
 @query("keep_best_copy", "select doc_id, source from (select *, row_number() over (partition by sha256(text) order by source <> 'src3', length(source), source, doc_id) as r from documents) where r = 1")
 def keep_best_copy(spark, d):
-    rows = docs(spark, d).select("doc_id", "source", dedup.content_key(F.col("text"), 64).alias("k"))
+    rows = docs(spark, d).select("doc_id", "source", dedup.content_key(F.col("text")).alias("k"))
     return dedup.keep_first(rows, ["k"], [F.col("source") != "src3", F.length("source"), "source", "doc_id"]).select("doc_id", "source")
 
 
 @query("ingest_status", """
-with k as (select substr(sha256(text), 1, 12) as key from documents where doc_id < 200)
-select doc_id, case when substr(sha256(text), 1, 12) in (select key from k) then 'known' when row_number() over (partition by sha256(text) order by doc_id) = 1 then 'ok' else 'dup' end as status from documents where doc_id >= 200""")
+with k as (select sha256(text) as key from documents where doc_id < 200)
+select doc_id, case when sha256(text) in (select key from k) then 'known' when row_number() over (partition by sha256(text) order by doc_id) = 1 then 'ok' else 'dup' end as status from documents where doc_id >= 200""")
 def ingest_status(spark, d):
     key = dedup.content_key(F.col("text"))
     known = docs(spark, d).filter("doc_id < 200").select(key.alias("key"))

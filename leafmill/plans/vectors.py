@@ -32,7 +32,7 @@ def firsts(e):
     return keep_first(e, ["label"], ["vec_id"])
 
 
-@query("local_density", f"select a.vec_id, count(*) filter ({C} >= 0.8)::double / count(*) as density from embeddings a, embeddings b group by a.vec_id")
+@query("local_density", f"select a.vec_id, count(*) filter ({C} > 0.8)::double / count(*) as density from embeddings a, embeddings b group by a.vec_id")
 def local_density(spark, d):
     return s.density(vectors(spark, d), vectors(spark, d), "vec_id", "embedding", 0.2)
 
