@@ -388,10 +388,12 @@ def url_depth_stats(spark, d):
 
 
 @query("url_tokens", r"""
-with u as (select page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\.', '') as h, lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+(/[^?#]*)?', 1)) as p from pages),
-s as (select *, string_split(h, '.') as l, list_filter(string_split(p, '/'), lambda x: x <> '') as seg, list_transform(list_filter(regexp_split_to_array(p, '[^a-z0-9]+'), lambda x: x <> ''), lambda w: case when regexp_matches(w, '^[0-9]+$') then '#' || length(w) else w end) as w from u),
-t as (select *, list_concat(list_transform(seg[1:3], lambda x, i: 'p' || (i - 1) || ':' || x), w) as tail from s)
-select page_id, list_concat(['h:' || h, 't:' || l[-1], 'd:' || array_to_string(l[-2:], '.'), 'n:' || len(seg)], tail, list_transform(range(1, greatest(len(tail), 1)), lambda i: tail[i] || ' ' || tail[i + 1])) as tokens from t""")
+with u as (select page_id, regexp_replace(lower(url), '^(?s).*?://', '') as rest from pages),
+s as (select page_id, regexp_replace(string_split(rest, '/')[1], '^www\.', '') as h, case when contains(rest, '/') then regexp_replace(rest, '^[^/]*/', '') else '' end as p from u),
+t as (select *, string_split(h, '.') as l, list_filter(string_split(string_split(p, '?')[1], '/'), lambda x: x <> '') as dirs,
+  list_transform(regexp_extract_all(p, '[a-z]+|[0-9]+'), lambda w: case when regexp_matches(w, '^[0-9]') then '#' || least(length(w), 6) else w end) as w from s),
+v as (select *, list_concat(list_transform(dirs[1:3], lambda x, i: 'd' || (i - 1) || ':' || x), w) as tail from t)
+select page_id, list_concat(['h:' || h, 'tld:' || l[-1], 'dom:' || array_to_string(l[-2:], '.'), 'n:' || least(len(dirs), 6)], tail, list_transform(range(1, greatest(len(tail), 1)), lambda i: 'b:' || tail[i] || '_' || tail[i + 1])) as tokens from v""")
 def url_tokens(spark, d):
     return read(spark, d, "pages").select("page_id", urls.tokens(F.col("url")).alias("tokens"))
 
@@ -416,14 +418,14 @@ def char_class_shares(spark, d):
 
 
 @query("language_signature_scores", r"""
-with s as (select doc_id, lang, lower(text) as t, nullif(len(regexp_extract_all(text, '\p{L}')), 0) as n from documents),
-p as (select *, coalesce(1000.0::double * len(regexp_extract_all(t, '[äöüß]')) / n, 0) as de, coalesce(1000.0::double * len(regexp_extract_all(t, '[éèêç]')) / n, 0) as fr, coalesce(1000.0::double * len(regexp_extract_all(t, '[ñáíóú]')) / n, 0) as es from s),
-f as (select *, case when de > 3 then 'de' when fr > 3 then 'fr' when es > 3 then 'es' else 'none' end as found from p)
-select doc_id, found, case when length(t) < 200 then 'short' when found = lang then 'ok' when found = 'none' then 'other' else 'mismatch' end as status from f""")
+with s as (select doc_id, text, lang, lower(text) as t from documents), c as (select *, len(regexp_extract_all(t, '\p{Latin}')) as n from s),
+p as (select *, case when n > 0 then 1000.0::double / n else 0 end as k from c),
+f as (select *, case when n <= 100 then null when k * len(regexp_extract_all(t, '[äöß]')) > 3 then 'de' when k * len(regexp_extract_all(t, '[èêçàœ]')) > 3 then 'fr' when k * len(regexp_extract_all(t, '[ñáíóú]')) > 3 then 'es' else 'none' end as found from p)
+select doc_id, found, case when len(regexp_extract_all(text, '[^ \t\n\r\f\v]+')) < 20 and len(regexp_extract_all(text, '[^ \t\n\r\f\v]')) < 120 then 'short' when found = lang or (found = 'none' and lang = 'en') then 'ok' when found = 'none' then 'mismatch' when found is not null then 'other' end as status from f""")
 def language_signature_scores(spark, d):
-    found = language.signature(F.col("text"), ["de", "fr", "es"])
+    found = language.signature(F.col("text"), language.LATIN, "Latin")
     out = docs(spark, d).withColumn("found", found)
-    return out.select("doc_id", "found", language.status(F.col("text"), F.col("lang"), F.col("found")).alias("status"))
+    return out.select("doc_id", "found", language.status(F.col("text"), F.col("lang"), F.col("found"), language.LATIN_PLAIN).alias("status"))
 
 
 @query("majority_script", None)

@@ -98,7 +98,7 @@ def test_scripts_and_bags(spark):
     from pyspark.sql import functions as F
 
     row = spark.createDataFrame([("https://www.a.example.org/x/12/y-z?q",)], "u string").select(urls.tokens(F.col("u")).alias("t"), urls.hashed_bag(urls.tokens(F.col("u"))).alias("b")).first()
-    assert row.t[:6] == ["h:a.example.org", "t:org", "d:example.org", "n:3", "p0:x", "p1:12"]
+    assert row.t == ["h:a.example.org", "tld:org", "dom:example.org", "n:3", "d0:x", "d1:12", "d2:y-z", "x", "#2", "y", "z", "q", "b:d0:x_d1:12", "b:d1:12_d2:y-z", "b:d2:y-z_x", "b:x_#2", "b:#2_y", "b:y_z", "b:z_q"]
     assert row.b == [zlib.crc32(t.encode()) % (1 << 20) for t in row.t]
 
 
