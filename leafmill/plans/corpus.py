@@ -89,7 +89,14 @@ def one_id_per_file(spark, d):
     return dedup.one_id_per_file(rows, "path", "n_chars", "doc_id").select("doc_id", "keep_id", "reason")
 
 
-@query("near_dup_greedy", None)
+@query("near_dup_greedy", """
+with recursive v as (select vec_id, label, row_number() over (partition by label order by vec_id) as r from embeddings),
+n as (select b.vec_id, list(a.vec_id) as l from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id
+  where list_dot_product(a.embedding::double[], b.embedding::double[]) / sqrt(list_dot_product(a.embedding::double[], a.embedding::double[]) * list_dot_product(b.embedding::double[], b.embedding::double[])) > 0.35 group by b.vec_id),
+x as (select v.*, coalesce(l, []::bigint[]) as l from v left join n using (vec_id)),
+g as (select distinct label, 0::bigint as r, []::bigint[] as kept from v union all select g.label, x.r, case when list_has_any(kept, l) then kept else list_append(kept, vec_id) end from g join x on x.label = g.label and x.r = g.r + 1),
+e as (select label, max_by(kept, r) as kept from g group by label)
+select vec_id, list_contains(kept, vec_id) as kept from v join e using (label)""")
 def near_dup_greedy(spark, d):
     return dedup.greedy_near_duplicates(read(spark, d, "embeddings"), "label", "vec_id", "embedding", ["vec_id"], 0.35)
 
@@ -273,7 +280,13 @@ def contained_sets(spark, d):
     return joins.contained(s, big, "a", "b").select("n", "m")
 
 
-@query("greedy_assignment", None)
+@query("greedy_assignment", """
+with recursive r as (select l_suppkey % 20 as g, l_orderkey, l_partkey, row_number() over (partition by l_suppkey % 20 order by l_extendedprice, l_orderkey, l_partkey) as i from lineitem),
+w as (select distinct g, 0::bigint as i, []::bigint[] as o, []::bigint[] as p from r
+  union all select g, i, case when free then list_append(o, l_orderkey) else o end, case when free then list_append(p, l_partkey) else p end
+  from (select w.g, r.i, o, p, l_orderkey, l_partkey, not list_contains(o, l_orderkey) and not list_contains(p, l_partkey) as free from w join r on r.g = w.g and r.i = w.i + 1 where len(o) < 40)),
+e as (select g, max_by(o, i) as o, max_by(p, i) as p from w group by g)
+select g, unnest(o) as l_orderkey, unnest(p) as l_partkey from e""")
 def greedy_assignment(spark, d):
     li = read(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("g"), "l_orderkey", "l_partkey", "l_extendedprice")
     return joins.greedy_one_to_one(li, "g", "l_orderkey", "l_partkey", "l_extendedprice", 40)
@@ -398,7 +411,15 @@ def url_tokens(spark, d):
     return read(spark, d, "pages").select("page_id", urls.tokens(F.col("url")).alias("tokens"))
 
 
-@query("url_hashed_bag", None)
+@query("url_hashed_bag", r"""
+with tokens as (with u as (select page_id, regexp_replace(lower(url), '^(?s).*?://', '') as rest from pages),
+s as (select page_id, regexp_replace(string_split(rest, '/')[1], '^www\.', '') as h, case when contains(rest, '/') then regexp_replace(rest, '^[^/]*/', '') else '' end as p from u),
+t as (select *, string_split(h, '.') as l, list_filter(string_split(string_split(p, '?')[1], '/'), lambda x: x <> '') as dirs,
+  list_transform(regexp_extract_all(p, '[a-z]+|[0-9]+'), lambda w: case when regexp_matches(w, '^[0-9]') then '#' || least(length(w), 6) else w end) as w from s),
+v as (select *, list_concat(list_transform(dirs[1:3], lambda x, i: 'd' || (i - 1) || ':' || x), w) as tail from t)
+select page_id, list_concat(['h:' || h, 'tld:' || l[-1], 'dom:' || array_to_string(l[-2:], '.'), 'n:' || least(len(dirs), 6)], tail, list_transform(range(1, greatest(len(tail), 1)), lambda i: 'b:' || tail[i] || '_' || tail[i + 1])) as tokens from v),
+e as (select page_id, generate_subscripts(tokens, 1) as k, unnest(tokens) as t from tokens)
+select page_id, list(xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(t))::bigint), lambda i: ('0x' || hex(encode(t))[2 * i + 1 : 2 * i + 2])::bigint)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 1048576 order by k) as buckets from e group by page_id""")
 def url_hashed_bag(spark, d):
     return read(spark, d, "pages").select("page_id", urls.hashed_bag(urls.tokens(F.col("url"))).alias("buckets"))
 
@@ -428,7 +449,11 @@ def language_signature_scores(spark, d):
     return out.select("doc_id", "found", language.status(F.col("text"), F.col("lang"), F.col("found"), language.LATIN_PLAIN).alias("status"))
 
 
-@query("majority_script", None)
+@query("majority_script", r"""
+with s as (select doc_id, text, [len(regexp_extract_all(text, '\p{Cyrillic}')), len(regexp_extract_all(text, '\p{Greek}')), len(regexp_extract_all(text, '\p{Arabic}')), len(regexp_extract_all(text, '\p{Hebrew}')), len(regexp_extract_all(text, '\p{Devanagari}')), len(regexp_extract_all(text, '\p{Bengali}')),
+  len(regexp_extract_all(text, '\p{Han}')), len(regexp_extract_all(text, '\p{Hiragana}')), len(regexp_extract_all(text, '\p{Katakana}')), len(regexp_extract_all(text, '\p{Hangul}')), len(regexp_extract_all(text, '\p{Thai}'))] as o, len(regexp_extract_all(text, '\p{Latin}')) as l from documents),
+t as (select *, list_sum(o) as r from s)
+select doc_id, case when r + l = 0 then 'none' when l >= 0.97::double * (r + l) then 'Latin' when list_max(o) >= 0.8::double * greatest(r, 1) then ['Cyrillic', 'Greek', 'Arabic', 'Hebrew', 'Devanagari', 'Bengali', 'Han', 'Hiragana', 'Katakana', 'Hangul', 'Thai'][list_position(o, list_max(o))] else 'mixed' end as script, regexp_matches(text, '[\p{Co}\x{FFFD}]') as broken from t""")
 def majority_script(spark, d):
     return docs(spark, d).select("doc_id", text.script(F.col("text")).alias("script"), text.is_broken(F.col("text")).alias("broken"))
 
@@ -457,7 +482,12 @@ def char_trigram_lm(spark, d):
     return language.ngram_counts(docs(spark, d), "text", 3, ["lang"])
 
 
-@query("line_bank", None)
+@query("line_bank", r"""
+with s as (select lang, unnest(string_split(regexp_replace(text, '([.!?…。！？।])[ \t\n\r\f\v]+', '\1' || chr(1), 'g'), chr(1))) as s from documents), c as (select lang, unnest(string_split(regexp_replace(s, '([,;:，；：])[ \t\n\r\f\v]+', '\1' || chr(1), 'g'), chr(1))) as c from s),
+w as (select lang, regexp_extract_all(c, '[^ \t\n\r\f\v]+') as w from c), n as (select lang, w, ceil(len(w) / 10)::bigint as k from w where len(w) > 0),
+p as (select lang, w, k, unnest(range(k)) as i from n), l as (select lang, array_to_string(w[floor(i * len(w) / k)::bigint + 1 : floor((i + 1) * len(w) / k)::bigint], ' ') as line from p),
+y as (select lang, line, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g'), ' ') as key from l)
+select lang, min(line) as line, length(min(line)) as len, key, array_to_string(string_split(key, ' ')[1:2], ' ') as stem from y where key <> '' group by lang, key""")
 def line_bank(spark, d):
     lines = docs(spark, d).select("lang", F.explode(text.phrases(F.col("text"))).alias("line")).withColumn("key", dedup.normal_key(F.col("line"))).filter("key <> ''")
     return dedup.keep_first(lines, ["lang", "key"], ["line"]).select("lang", "line", F.length("line").alias("len"), "key", text.stem(F.col("key")).alias("stem"))

@@ -160,7 +160,9 @@ def hash_split_train_val(spark, d):
     return read(spark, d, "documents").select("doc_id", F.when(s.digit_sum(F.sha1("text")) % 5 == 0, "val").otherwise("train").alias("part"), (s.hex_modulo(F.md5("text"), 10) == 0).alias("md5_val"))
 
 
-@query("host_crc_fold", None)
+@query("host_crc_fold", r"""
+with h as (select page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\.', '') as h from pages)
+select page_id, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(h))::bigint), lambda i: ('0x' || hex(encode(h))[2 * i + 1 : 2 * i + 2])::bigint)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 10 = 0 as held_out from h""")
 def host_crc_fold(spark, d):
     from leafmill.functions.urls import host
 
