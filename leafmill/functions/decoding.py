@@ -86,3 +86,66 @@ def table_agreement(traces: DataFrame, tables: DataFrame, by: list[str], least:
     met = traces.join(tables, "code").groupBy(*by, "table").agg(F.avg((F.col("read") == F.col("text")).cast("double")).alias("share"), F.countDistinct("code").alias("codes"))
     good = met.filter((F.col("share") >= least) & (F.col("codes") >= codes))
     return good.groupBy(*by).agg(F.max_by("table", F.struct("share", "codes", "table")).alias("table"), F.max("share").alias("share"))
+
+
+def code_page(name: str) -> dict[str, str]:
+    """The table of an 8-bit code page for text whose bytes were read as Latin-1; bytes without a character stay."""
+    found = {chr(b): bytes([b]).decode(name, "ignore") for b in range(128, 256)}
+    return {k: v for k, v in found.items() if v and v != k}
+
+
+def chained(text: Column, steps) -> Column:
+    """Several decoders one after the other: (kind, argument) with kind table (a dict), page (an 8-bit code page whose
+    bytes were read as Latin-1), spoken or reversed."""
+    for kind, argument in steps:
+        if kind == "table":
+            text = decoder(argument)(text)
+        elif kind == "page":
+            text = decoder(code_page(argument))(text)
+        elif kind == "spoken":
+            text = spoken_order(text)
+        elif kind == "reversed":
+            text = reversed_keeping_numbers(text)
+        else:
+            raise ValueError(f"no decoder {kind}")
+    return text
+
+
+def likeliest_table(samples: DataFrame, tables: DataFrame, model, by: str, text: str, lang: str) -> DataFrame:
+    """(by, table, mean): of the candidate tables (table, code, text) that which makes the samples the likeliest text of
+    their language by a character model; codes outside a table stay as they are."""
+    keyed = samples.select(F.col(by).alias("b_"), F.col(lang).alias("l_"), F.col(text).alias("t_"), F.monotonically_increasing_id().alias("i_"))
+    letters = keyed.select("*", F.posexplode(F.split("t_", "")).alias("at", "code")).filter("code <> ''")
+    names = tables.select("table").distinct()
+    met = letters.crossJoin(F.broadcast(names)).join(tables.withColumnRenamed("text", "to_"), ["table", "code"], "left")
+    made = met.groupBy("b_", "l_", "i_", "table").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("to_", "code").alias("c")))), lambda x: x["c"]), "").alias("made"))
+    rows = made.withColumn("k_", F.struct("b_", "i_", "table"))
+    scored = model.score(rows, "k_", "made", "l_").groupBy("k_.b_", "k_.table").agg(F.avg("mean").alias("mean"))
+    return scored.groupBy(F.col("b_").alias(by)).agg(F.max_by("table", F.struct("mean", "table")).alias("table"), F.max("mean").alias("mean"))
+
+
+def decoding_audit(decoded: DataFrame, by: str, text: str) -> DataFrame:
+    """(by, texts, characters, broken, marks_first): how much a font's texts hold that no decoder should leave."""
+    n = lambda p: F.sum(F.regexp_count(F.col(text), F.lit(p)))
+    return decoded.groupBy(by).agg(F.count(text).alias("texts"), F.sum(F.length(text)).alias("characters"), n(r"[\p{Co}\x{FFFD}]").alias("broken"), n(r"(?:^|[^\p{L}\p{M}])\p{M}").alias("marks_first"))
+
+
+def coverage_class(texts: DataFrame, lang: str, text: str, glyphs: DataFrame, full: float = 1.0, usable: float = 0.98) -> DataFrame:
+    """(lang, share, class, missing): share of a language's characters, by frequency, that a set of glyphs (lang, ch) has;
+    full, usable or partial; and the characters that it lacks, the most frequent first."""
+    chars = texts.select(F.col(lang).alias("l_"), F.explode(F.regexp_extract_all(F.col(text), F.lit(r"(?s)[^ \t\n\r\f\x0B]"), F.lit(0))).alias("ch")).groupBy("l_", "ch").agg(F.count("*").alias("n"))
+    met = chars.join(glyphs.select(F.col(lang).alias("l_"), "ch", F.lit(True).alias("has")).distinct(), ["l_", "ch"], "left")
+    out = met.groupBy("l_").agg((F.coalesce(F.sum(F.when(F.col("has"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("share"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("has").isNull(), F.struct((-F.col("n")).alias("n"), "ch")))), lambda x: x["ch"]), "").alias("missing"))
+    kind = F.when(F.col("share") >= full, "full").when(F.col("share") >= usable, "usable").otherwise("partial")
+    return out.select(F.col("l_").alias(lang), "share", kind.alias("class"), "missing")
+
+
+def nearest_shapes(glyphs: DataFrame, known: DataFrame, key: str, bitmap: str, label: str, least: float = 0.8) -> DataFrame:
+    """(key, label, score): the known glyph whose shape agrees best: shared ink over all ink of two bitmaps of equal size,
+    given as sorted arrays of the numbers of inked cells. Pairs meet over shared cells; counts are summed before they move."""
+    a = glyphs.select(F.col(key).alias("k_"), F.explode(bitmap).alias("c_"))
+    b = known.select(F.col(label).alias("x_"), F.explode(bitmap).alias("c_"))
+    both = a.join(b, "c_").groupBy("k_", "x_").agg(F.count("*").alias("both"))
+    na, nb = glyphs.select(F.col(key).alias("k_"), F.size(bitmap).alias("na")), known.select(F.col(label).alias("x_"), F.size(bitmap).alias("nb"))
+    scored = both.join(na, "k_").join(nb, "x_").withColumn("score", F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).filter(F.col("score") >= least)
+    return scored.groupBy(F.col("k_").alias(key)).agg(F.max_by("x_", F.struct("score", "x_")).alias(label), F.max("score").alias("score"))

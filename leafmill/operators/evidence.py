@@ -116,10 +116,13 @@ def sourcing_plan(need: DataFrame, paragraphs: DataFrame, target: str, source: s
     return met.withColumn("before_", F.coalesce(F.sum(size).over(w), F.lit(0))).filter(F.col("before_") < F.col("missing") * margin).drop("t_", "before_")
 
 
-def weight_batches(df: DataFrame, order: Sequence, by: Sequence[str], each: int, most: int) -> DataFrame:
-    """Batch number of consecutive rows that weigh `each`, a batch being full once it holds `most`."""
-    at = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(at / F.ceil(F.lit(most) / each)).cast("long"))
+def weight_batches(df: DataFrame, order: Sequence, by: Sequence[str], weight: Column | int, most: int) -> DataFrame:
+    """Batch number of consecutive rows: a row belongs to the batch in which the weight of the rows before it falls, so a
+    batch is full once it holds `most`. weight: a column of estimates, or one number for all rows."""
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    if isinstance(weight, int):
+        return df.withColumn("batch", F.floor(F.count("*").over(w) / F.ceil(F.lit(most) / weight)).cast("long"))
+    return df.withColumn("batch", F.floor(F.coalesce(F.sum(weight).over(w), F.lit(0)) / most).cast("long"))
 
 
 def mean_vector(df: DataFrame, by: Sequence[str], vector: str) -> DataFrame:

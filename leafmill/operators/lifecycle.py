@@ -102,3 +102,20 @@ def claimable(queries: DataFrame, done: DataFrame, claims: DataFrame, key: str,
     """Rows neither done nor claimed within the lease (seconds before `at`)."""
     live = claims.filter(F.col("claimed_at") > at - F.make_interval(secs=F.lit(lease)))
     return pending(pending(queries, done, [key]), live, [key])
+
+
+def serve(queue: DataFrame, done: DataFrame, claims: DataFrame, key: str, order: Sequence[str], workers: Sequence[str], each: int, at: Column, lease: int = 120) -> DataFrame:
+    """(key, worker, claimed_at): the next claims of a queue: rows neither done nor claimed within the lease, in order,
+    dealt to the workers in turn, `each` to one at most."""
+    free = claimable(queue.select(key, *[o for o in order if o != key]), done, claims, key, at, lease)
+    placed = in_order(free, [*order, key], "place_").filter(F.col("place_") <= each * len(workers))
+    names = F.array(*[F.lit(w) for w in workers])
+    return placed.select(key, F.element_at(names, (F.pmod(F.col("place_") - 1, F.lit(len(workers))) + 1).cast("int")).alias("worker"), at.alias("claimed_at"))
+
+
+def poisoned(attempts: DataFrame, key: str, failed: str, most: int = 3) -> DataFrame:
+    """(key, tries, state): of a log of attempts in any order: done once one succeeded, poison after `most` failures, retry
+    before that."""
+    tries = attempts.groupBy(key).agg(F.count("*").alias("tries"), F.bool_or(~F.col(failed)).alias("fine_"))
+    state = F.when(F.col("fine_"), "done").when(F.col("tries") >= most, "poison").otherwise("retry")
+    return tries.select(key, "tries", state.alias("state"))

@@ -293,3 +293,83 @@ def landings(new: DataFrame, points: DataFrame, id_col: str, vector: str, radius
     """(src, dst, distance): each new row on its nearest open point within the radius, one row for each point."""
     near = nearest(new, points, id_col, vector, drop_self=False).withColumn("distance", F.round(1 - F.col("similarity"), 12)).filter(F.col("distance") <= radius)
     return near.withColumn("r_", F.row_number().over(Window.partitionBy("dst").orderBy("distance", "src"))).filter("r_ = 1").select("src", "dst", "distance")
+
+
+def elimination(weight: float = 1.0, kept: int = 1):
+    """Weighted sample elimination: of rows as crowded as their close neighbours make them, the most crowded goes until
+    `kept` are left (ties the later row). The reach shrinks with the number of rows that stay."""
+
+    def choose(ids, x, _):
+        n, left = len(x), min(kept, len(x))
+        d = lambda rows: np.sqrt(np.maximum(2 - 2 * np.round(x[rows] @ x.T, 12), 0.0))
+        sample = np.linspace(0, n - 1, min(n, 256)).astype(int)
+        reach = 2 * np.quantile(d(sample), min(1.0, 1 / max(1, left)))
+        crowd = np.zeros(n)
+        for s in range(0, n, 256):
+            rows = np.arange(s, min(n, s + 256))
+            near = d(rows)
+            near[np.arange(len(rows)), rows] = reach
+            crowd[rows] = (np.maximum(0.0, 1 - np.minimum(near, reach) / max(reach, 1e-300)) ** (8 * weight)).sum(axis=1)
+        alive = np.ones(n, dtype=bool)
+        for _step in range(n - left):
+            at = np.nonzero(alive)[0]
+            out = int(at[np.nonzero(np.round(crowd[at], 9) == np.round(crowd[at], 9).max())[0].max()])
+            alive[out] = False
+            near = d(np.array([out]))[0]
+            crowd -= np.where(np.arange(n) == out, 0.0, np.maximum(0.0, 1 - np.minimum(near, reach) / max(reach, 1e-300)) ** (8 * weight))
+        return ids[alive], crowd[alive]
+
+    return choose
+
+
+def herding(k: int, width: float = 0.5):
+    """Kernel herding: each pick is where the rows' mean kernel most exceeds that of the picks before it (ties the earlier
+    row); the value is the pick's place."""
+
+    def choose(ids, x, _):
+        kernel = lambda rows: np.exp(-(2 - 2 * np.round(x[rows] @ x.T, 12)) / (2 * width**2))
+        mean = np.concatenate([kernel(np.arange(s, min(len(x), s + 256))).mean(axis=1) for s in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+        taken, sums = [], np.zeros(len(x))
+        for step in range(min(k, len(x))):
+            score = np.round(mean - sums / (step + 1), 12)
+            score[taken] = -np.inf
+            at = int(score.argmax())
+            taken.append(at)
+            sums += kernel(np.array([at]))[0]
+        return ids[taken], np.arange(len(taken))
+
+    return choose
+
+
+def seed_rounds(candidates: DataFrame, targets: DataFrame, id_col: str, vector: str, shift: tuple[np.ndarray, np.ndarray, np.ndarray], by: str, per_round: int, rounds: int, radius: float) -> DataFrame:
+    """(id, by, target, round): candidates whose predicted vectors (shift: mean, matrix, mean of a ridge) come nearest to
+    targets that no earlier pick has covered. A round takes the best per_round of each `by`, one for each target; targets
+    within the radius of a pick are covered. Stops when no target is left; targets and picks of a round are small tables."""
+    from leafmill.operators.learned import apply_matrix
+
+    mean, matrix, offset = shift
+    moved = apply_matrix(candidates.select(id_col, by, F.col(vector).cast("array<double>").alias(vector)), vector, matrix, mean, "moved_")
+    rows = materialise(moved.select(F.col(id_col).cast("long").alias(id_col), by, F.zip_with("moved_", F.array(*[F.lit(float(v)) for v in offset]), lambda a, b: a + b).alias(vector)))
+    left, out = materialise(targets.select(F.col(id_col).cast("long").alias(id_col), F.col(vector).cast("array<double>").alias(vector))), None
+    for turn in range(rounds):
+        if not left.limit(1).count():
+            break
+        free = rows if out is None else rows.join(out.select(id_col), id_col, "left_anti")
+        near = nearest(free, left, id_col, vector, drop_self=False).join(free.select(F.col(id_col).alias("src"), by), "src")
+        one = near.withColumn("r_", F.row_number().over(Window.partitionBy("dst").orderBy(F.desc("similarity"), "src"))).filter("r_ = 1")
+        best = one.withColumn("r_", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("similarity"), "src"))).filter(F.col("r_") <= per_round)
+        new = materialise(best.select(F.col("src").alias(id_col), by, F.col("dst").alias("target"), F.lit(turn).alias("round")))
+        if not new.limit(1).count():
+            break
+        out = new if out is None else out.unionAll(new)
+        picked = rows.join(new.select(id_col), id_col, "left_semi")
+        covered = nearest(left, picked, id_col, vector, drop_self=False).filter(F.round(1 - F.col("similarity"), 12) <= radius).select(F.col("src").alias(id_col))
+        hit = covered.unionAll(new.select(F.col("target").alias(id_col))).distinct()
+        left = materialise(left.join(hit, id_col, "left_anti"))
+    return out if out is not None else rows.limit(0).select(id_col, by, F.lit(None).cast("long").alias("target"), F.lit(0).alias("round"))
+
+
+def identical_groups(df: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(id, group): rows of equal vectors share the least id among them; rows of null vectors are groups of their own."""
+    least = df.filter(F.col(vector).isNotNull()).groupBy(F.col(vector).alias("v_")).agg(F.min(id_col).alias("g_"))
+    return df.select(id_col, vector).join(least, F.col(vector) == F.col("v_"), "left").select(id_col, F.coalesce("g_", F.col(id_col)).alias("group"))

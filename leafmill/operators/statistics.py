@@ -119,3 +119,14 @@ def z_scores(df: DataFrame, columns: Sequence[str], clip: float = 5.0) -> DataFr
         z = F.try_divide(F.col(c) - F.col(f"m_{c}"), F.col(f"s_{c}"))
         out = out.withColumn(f"z_{c}", F.coalesce(F.least(F.greatest(z, F.lit(-clip)), F.lit(clip)), F.lit(0.0))).withColumn(f"has_{c}", F.col(c).isNotNull().cast("int"))
     return out.drop(*[f"{k}_{c}" for c in columns for k in "ms"])
+
+
+def weighted_summary(df: DataFrame, by: Sequence[str], value: str, weight: str) -> DataFrame:
+    """(by, n, mass, mean, median) of a weighted pool: null values and weights are left out; the median is the least value
+    at which half of the mass is reached."""
+    rows = df.filter(F.col(value).isNotNull() & F.col(weight).isNotNull())
+    cells = rows.groupBy(*by, value).agg(F.count("*").alias("n_"), F.sum(weight).alias("w_"))
+    w = Window.partitionBy(*by)
+    placed = cells.withColumn("upto_", F.sum("w_").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("all_", F.sum("w_").over(w))
+    half = F.min(F.when(F.col("upto_") >= F.col("all_") / 2, F.col(value)))
+    return placed.groupBy(*by).agg(F.sum("n_").alias("n"), F.sum("w_").alias("mass"), (F.sum(F.col(value) * F.col("w_")) / F.sum("w_")).alias("mean"), half.alias("median"))
