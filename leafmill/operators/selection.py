@@ -135,17 +135,45 @@ def medoids(df: DataFrame, id_col: str, vector: str, k: int, seed: int = 0, weig
     return met.groupBy("cluster").agg(F.max_by(id_col, F.struct("s_", -F.col(id_col))).alias(id_col)).select(id_col, "cluster")
 
 
-def hybrid(df: DataFrame, id_col: str, vector: str, k: int, boundary: float = 0.15, gamma: float = 0.5, trim: float = 0.25, r: float = 0.2, seed: int = 0) -> DataFrame:
+def hybrid(df: DataFrame, id_col: str, vector: str, k: int, boundary: float = 0.15, gamma: float = 0.5, trim: float = 0.25, r: float = 0.2, seed: int = 0, dense: DataFrame | None = None) -> DataFrame:
     """(id, kind): (1-boundary)k medoids weighted against density, and boundary*k points farthest from the medoids
-    and from each other among the rows above the trimmed part of the densities."""
-    dense = density(df, df, id_col, vector, r)
+    and from each other among the rows above the trimmed part of the densities. dense: (id, density), if known."""
+    dense = density(df, df, id_col, vector, r) if dense is None else dense
     rows = df.join(dense, id_col).withColumn("w_", F.pow(F.greatest("density", F.lit(1e-6)), F.lit(-gamma)))
-    inner = medoids(rows, id_col, vector, max(1, round(k * (1 - boundary))), seed, "w_").select(id_col, F.lit("medoid").alias("kind"))
+    inner = materialise(medoids(rows, id_col, vector, max(1, round(k * (1 - boundary))), seed, "w_").select(id_col, F.lit("medoid").alias("kind")))
     floor = rows.agg(F.percentile("density", F.lit(trim)).alias("f")).first().f
     outer = farthest_points(rows.filter(F.col("density") >= floor).join(inner, id_col, "left_anti"), id_col, vector, k - inner.count(), batch=8, chosen=rows.join(inner, id_col))
     return inner.unionAll(outer.select(id_col, F.lit("boundary").alias("kind")))
 
 
+def select_by_group(df: DataFrame, id_col: str, vector: str, group: str, k: int, alpha: float = 0.5, few: int = 4, trim: float = 0.25, r: float = 0.2, seed: int = 0) -> DataFrame:
+    """(id, kind): k rows, each group's quota by its size to the power of alpha, one at least. A group under its quota
+    comes whole, of a quota under `few` the densest rows, of others the hybrid selection; what rounding leaves open is
+    topped up with the rows farthest from all that are chosen. Groups are few (languages): each is a job of its own."""
+    from leafmill.operators.allocators import water_fill
+
+    dense = materialise(density(df, df, id_col, vector, r))
+    sizes = df.groupBy(group).agg(F.count("*").alias("n"))
+    filled = water_fill(sizes, "n", F.lit(k), F.pow("n", F.lit(alpha)), key=[group])
+    plan = materialise(filled.select(group, "n", F.greatest(F.lit(1), F.bround("quota", 0)).cast("int").alias("quota")))
+    rows = materialise(df.join(dense, id_col).join(maybe_broadcast(plan.withColumnRenamed(group, "g_")), F.col(group).eqNullSafe(F.col("g_"))).drop("g_"))
+    whole = rows.filter("quota >= n").select(id_col, F.lit("whole").alias("kind"))
+    w = Window.partitionBy(group).orderBy(F.desc("density"), id_col)
+    top = rows.filter((F.col("quota") < F.col("n")) & (F.col("quota") < few)).withColumn("r_", F.row_number().over(w)).filter("r_ <= quota").select(id_col, F.lit("dense").alias("kind"))
+    out = whole.unionAll(top)
+    for g in plan.filter((F.col("quota") < F.col("n")) & (F.col("quota") >= few)).orderBy(group).collect():
+        mine = rows.filter(F.col(group).eqNullSafe(F.lit(g[group]))).drop("n", "quota")
+        out = out.unionAll(hybrid(mine.drop("density"), id_col, vector, g.quota, trim=trim, seed=seed, dense=mine.select(id_col, "density")))
+    out = materialise(out)
+    missing = k - out.count()
+    if missing <= 0:
+        return out
+    floor = dense.agg(F.percentile("density", F.lit(trim)).alias("f")).first().f
+    free = rows.filter(F.col("density") >= floor).join(out, id_col, "left_anti")
+    more = farthest_points(free, id_col, vector, missing, chosen=rows.join(out.select(id_col), id_col, "left_semi"))
+    return out.unionAll(more.select(id_col, F.lit("top-up").alias("kind")))
+
+
 def stratified_farthest(df: DataFrame, strata: Sequence[str], id_col: str, vector: str, quotas: DataFrame) -> DataFrame:
     """Farthest points inside each stratum up to its quota (strata, quota)."""
 

@@ -124,6 +124,11 @@ def hybrid_select(spark, d):
     return s.hybrid(vectors(spark, d), "vec_id", "embedding", 30)
 
 
+@query("group_select", None)
+def group_select(spark, d):
+    return s.select_by_group(vectors(spark, d), "vec_id", "embedding", "label", 40)
+
+
 @query("stratified_fps", f"""
 with recursive {DISTANCES},
 s as (select label, count(*) as n from embeddings group by label), c as (select max(c) as cap from (select unnest(range(0, 61)) as c) r where (select sum(least(n, r.c)) from s) <= 60),
