@@ -60,11 +60,27 @@ def window_keys(text: Column, width: int = 60, offsets: Sequence[int] = (0, 200,
 
 
 def later_overlaps(df: DataFrame, id_col: str, text_col: str, width: int = 60, offsets: Sequence[int] = (0, 200, 500)) -> DataFrame:
-    """Rows that share a window with an earlier row: the first owner of each window is one aggregate, no self-join."""
-    windows = df.select(id_col, F.explode(window_keys(F.col(text_col), width, offsets)).alias("w"))
-    owners = windows.groupBy("w").agg(F.min(id_col).alias("owner"))
-    hits = windows.join(owners, "w").filter(F.col("owner") < F.col(id_col)).groupBy(id_col).agg(F.min("owner").alias("first_owner"), F.countDistinct("w").alias("shared"))
-    return hits
+    """(id, first_owner, shared): in order of the id, a row goes if it shares a window with an earlier row that stays; the
+    least such row and the number of windows shared with rows that stay. Ids are unique.
+
+    Rounds decide: a row that has all its windows first among the undecided stays, and whoever shares one with it goes. A
+    window's first row is one aggregate; rows are never paired."""
+    windows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.explode(F.array_distinct(window_keys(F.col(text_col), width, offsets))).alias("w"))
+    left, stay = materialise(windows), None
+    every = left
+    while left.limit(1).count():
+        first = left.groupBy("w").agg(F.min("i").alias("first"))
+        own = left.join(first, "w").groupBy("i").agg(F.min((F.col("first") == F.col("i")).cast("int")).alias("all_")).filter("all_ = 1").select("i")
+        kept = materialise(left.join(own, "i", "left_semi"))
+        stay = kept if stay is None else stay.unionAll(kept)
+        rest = left.join(kept.select("i").distinct(), "i", "left_anti")
+        out = rest.join(kept.select("w").distinct(), "w", "left_semi").select("i").distinct()
+        before, left = left, materialise(rest.join(out, "i", "left_anti"))
+        if before is not every:
+            forget(before)
+    owners = (every.limit(0) if stay is None else stay).groupBy("w").agg(F.min("i").alias("owner"))
+    hits = every.join(owners, "w").filter(F.col("owner") < F.col("i"))
+    return hits.groupBy(F.col("i").alias(id_col)).agg(F.min("owner").alias("first_owner"), F.count("*").alias("shared"))
 
 
 def subset_pairs(members: DataFrame, doc: str, item: str) -> DataFrame:

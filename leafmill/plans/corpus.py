@@ -58,10 +58,11 @@ def repeated_line_docs(spark, d):
 
 
 @query("boilerplate_windows", r"""
-with c as (select doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' ') as t from documents),
-w as (select doc_id, substr(t, o + 1, 60) as w from c, (select unnest([0, 200, 500]) as o) where length(t) >= o + 60),
-f as (select w, min(doc_id) as owner from w group by w)
-select doc_id, min(owner) as first_owner, count(distinct w) as shared from w join f using (w) where owner < doc_id group by doc_id""")
+with recursive c as (select doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' ') as t from documents),
+w as (select distinct doc_id, md5(substr(t, o + 1, 60)) as w from c, (select unnest([0, 200, 500]) as o) where length(t) >= o + 60), o as (select doc_id, list(w) as ws, row_number() over (order by doc_id) as r from w group by doc_id),
+g as (select 0::bigint as r, []::varchar[] as kept, []::bigint[] as ids union all select o.r, case when list_has_any(kept, ws) then kept else list_concat(kept, ws) end, case when list_has_any(kept, ws) then ids else list_append(ids, doc_id) end from g join o on o.r = g.r + 1),
+k as (select unnest(ids) as doc_id from (select ids from g order by r desc limit 1)), f as (select w, min(doc_id) as owner from w join k using (doc_id) group by w)
+select doc_id, min(owner) as first_owner, count(*) as shared from w join f using (w) where owner < doc_id group by doc_id""")
 def boilerplate_windows(spark, d):
     return dedup.later_overlaps(docs(spark, d), "doc_id", "text")
 
