@@ -113,22 +113,27 @@ def registry_ids(spark, d):
 
 
 @query("merge_pages_versions", """
-with old as (select o_orderkey, o_totalprice from orders where o_orderkey % 3 <> 0), new as (select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0), gone as (select o_orderkey from orders where o_orderkey % 10 = 4),
+with old as (select o_orderkey, o_totalprice from orders), new as (select case when o_orderstatus = 'F' then o_orderkey + 1000000000 else o_orderkey end as o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderstatus <> 'O'), gone as (select o_orderkey from orders where o_totalprice < 20000),
 l as (select * from old where o_orderkey not in (select o_orderkey from gone))
 select o_orderkey, round(o_totalprice, 2) as price from (select * from l union all select * from new where o_orderkey not in (select o_orderkey from l))""")
 def merge_pages_versions(spark, d):
-    o = read(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    out = lifecycle.merge_pages(o.filter("o_orderkey % 3 <> 0"), o.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), o.filter("o_orderkey % 10 = 4"), ["o_orderkey"])
+    """All orders as the old version; of the new one orders in process are known and finished ones have new keys."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") + 1_000_000_000).otherwise(F.col("o_orderkey"))
+    new = o.filter("o_orderstatus <> 'O'").select(key.alias("o_orderkey"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    out = lifecycle.merge_pages(o.drop("o_orderstatus"), new, o.filter("o_totalprice < 20000"), ["o_orderkey"])
     return out.select("o_orderkey", F.round("o_totalprice", 2).alias("price"))
 
 
 @query("upsert_versions", """
-with old as (select s_suppkey as k, s_name as v from supplier where s_suppkey % 2 = 0), new as (select s_suppkey as k, lower(s_name) as v from supplier where s_suppkey % 3 = 0)
+with old as (select s_suppkey as k, s_name as v from supplier), new as (select case when s_acctbal > 5000 then s_suppkey + 100000 else s_suppkey end as k, lower(s_name) as v from supplier where s_acctbal < 0 or s_acctbal > 5000)
 select k, v, 'replace' as mode from (select * from old where k not in (select k from new) union all select * from new)
 union all select k, v, 'ignore' from (select * from old union all select * from new where k not in (select k from old))""")
 def upsert_versions(spark, d):
+    """All suppliers as the old version; those in debt come again, rich ones under new keys."""
     s = read(spark, d, "supplier")
-    old, new = s.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("v")), s.filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("k"), F.lower("s_name").alias("v"))
+    key = F.when(F.col("s_acctbal") > 5000, F.col("s_suppkey") + 100_000).otherwise(F.col("s_suppkey"))
+    old, new = s.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("v")), s.filter("s_acctbal < 0 or s_acctbal > 5000").select(key.alias("k"), F.lower("s_name").alias("v"))
     return lifecycle.upsert(old, new, ["k"]).withColumn("mode", F.lit("replace")).unionByName(lifecycle.upsert(old, new, ["k"], replace=False).withColumn("mode", F.lit("ignore")))
 
 
@@ -141,27 +146,30 @@ def drop_pages(spark, d):
 
 
 @query("reconcile_states", """
-with listed as (select doc_id, sha256(text) as c, source as p from documents where doc_id % 2 = 0), found as (select sha256(text) as c, case when doc_id % 6 = 0 then 'moved' else source end as p from documents where doc_id % 5 <> 0),
+with listed as (select doc_id, sha256(text) as c, source as p from documents), found as (select sha256(text) as c, case when n_chars < 400 then 'moved' else source end as p from documents where n_chars < 3000),
 n as (select c, count(*) as n, min(p) as there from found group by c), h as (select distinct c, p from found)
 select doc_id, case when h.c is not null then 'same' when n.n is null then 'gone' when n.n > 1 then 'ambiguous' else 'moved' end as state,
        case when h.c is not null then l.p when n.n = 1 then there end as now_at
 from listed l left join h on h.c = l.c and h.p = l.p left join n on n.c = l.c""")
 def reconcile_states(spark, d):
+    """All documents are listed; short ones are found elsewhere, long ones not at all."""
     c = F.sha2("text", 256).alias("c")
-    listed = docs(spark, d).filter("doc_id % 2 = 0").select("doc_id", c, F.col("source").alias("p"))
-    found = docs(spark, d).filter("doc_id % 5 <> 0").select(c, F.when(F.col("doc_id") % 6 == 0, "moved").otherwise(F.col("source")).alias("p"))
+    listed = docs(spark, d).select("doc_id", c, F.col("source").alias("p"))
+    found = docs(spark, d).filter("n_chars < 3000").select(c, F.when(F.col("n_chars") < 400, "moved").otherwise(F.col("source")).alias("p"))
     return lifecycle.reconcile(listed, found, "c", "p").select("doc_id", "state", "now_at")
 
 
 @query("replace_by_document", """
-with new as (select l_orderkey as d, l_partkey as p, max(l_extendedprice) as v from lineitem where l_orderkey % 4 = 1 group by 1, 2), redo as (select distinct d from new where d % 8 = 1),
-old as (select l_orderkey as d, l_partkey as p, min(l_extendedprice) as v from lineitem where l_orderkey % 2 = 1 and l_quantity > 10 group by 1, 2)
+with new as (select case when l_returnflag = 'A' then l_orderkey + 1000000000 else l_orderkey end as d, l_partkey as p, max(l_extendedprice) as v from lineitem where l_returnflag <> 'N' group by 1, 2), redo as (select distinct l_orderkey as d from lineitem where l_discount >= 0.09),
+old as (select l_orderkey as d, l_partkey as p, min(l_extendedprice) as v from lineitem group by 1, 2)
 select d, p, v from old where d not in (select d from redo) and (d, p) not in (select d, p from new) union all select * from new""")
 def replace_by_document(spark, d):
-    li = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("d"), F.col("l_partkey").alias("p"), F.col("l_extendedprice").alias("v"), "l_quantity")
-    new = li.filter("d % 4 = 1").drop("l_quantity")
-    old = li.filter("d % 2 = 1 and l_quantity > 10").groupBy("d", "p").agg(F.min("v").alias("v"))
-    return lifecycle.replace_documents(old, new, "d", "p", new.filter("d % 8 = 1").select("d"), [F.desc("v")])
+    """All lines as the old version; returned ones come again, accepted ones as new documents; discounted orders are redone."""
+    li = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("d"), F.col("l_partkey").alias("p"), F.col("l_extendedprice").alias("v"), "l_returnflag", "l_discount")
+    key = F.when(F.col("l_returnflag") == "A", F.col("d") + 1_000_000_000).otherwise(F.col("d"))
+    new = li.filter("l_returnflag <> 'N'").select(key.alias("d"), "p", "v")
+    old = li.groupBy("d", "p").agg(F.min("v").alias("v"))
+    return lifecycle.replace_documents(old, new, "d", "p", li.filter("l_discount >= 0.09").select("d"), [F.desc("v")])
 
 
 @query("layered_labels", """
@@ -273,10 +281,11 @@ def dup_components(spark, d):
 
 
 @query("contained_sets", """
-with s as (select c_nationkey as n, list(distinct c_mktsegment) as a from customer where c_acctbal > 9300 group by 1), l as (select s_nationkey as m, ['BUILDING', 'MACHINERY', 'AUTOMOBILE', 'HOUSEHOLD'] as b from supplier group by 1)
+with s as (select c_nationkey * 100 + floor(c_acctbal / 500)::bigint as n, list(distinct c_mktsegment) as a from customer group by 1), l as (select s_nationkey as m, ['BUILDING', 'MACHINERY', 'AUTOMOBILE', 'HOUSEHOLD'] as b from supplier group by 1)
 select n, m from s, l where len(list_filter(a, lambda x: not list_contains(b, x))) = 0""")
 def contained_sets(spark, d):
-    s = read(spark, d, "customer").filter("c_acctbal > 9300").groupBy(F.col("c_nationkey").alias("n")).agg(F.collect_set("c_mktsegment").alias("a"))
+    """The segments of each nation's customers of like means, and whose offer has them all."""
+    s = read(spark, d, "customer").groupBy((F.col("c_nationkey") * 100 + F.floor(F.col("c_acctbal") / 500)).alias("n")).agg(F.collect_set("c_mktsegment").alias("a"))
     big = read(spark, d, "supplier").select(F.col("s_nationkey").alias("m")).distinct().withColumn("b", F.array(*[F.lit(x) for x in ("BUILDING", "MACHINERY", "AUTOMOBILE", "HOUSEHOLD")]))
     return joins.contained(s, big, "a", "b").select("n", "m")
 
