@@ -37,8 +37,14 @@ COPY_SHINGLE, SIMILARITY = 5, 0.8
 COPY_RADIUS = 44
 #: A bucket of more distinct fingerprints is cut.
 BLOCK = 1024
-#: Rows that are compared as one block, whole buckets.
-LANES = 256
+#: Rows that are compared as one block, whole buckets, and bytes that may wait to be cut into blocks.
+LANES, WAITING = 256, 32_000_000
+#: Rounds in which nodes are linked to their nearest ones in other groups before all that is left is compared.
+NEAREST_ROUNDS = 4
+#: A bucket of more members than this that is still open is sent with the whole sets and verified where it is compared.
+CROWD = 64
+#: Shingles that are counted at a time when sets are compared as bits.
+COLUMNS = 8192
 #: Documents whose shingles tell the frequent ones, and how many of these are told apart at most.
 SAMPLE, FREQUENT = 2000, 50_000
 #: Rows of a batch.
@@ -185,7 +191,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], lanes: int = LANES) -> Iterator[p
 
     for batch in batches:
         held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-        if held.num_rows >= 16 * lanes:
+        if held.num_rows >= 16 * lanes or held.nbytes >= WAITING:
             yield from cut(held, False)
     if held is not None and held.num_rows:
         yield from cut(held, True)
@@ -375,9 +381,55 @@ def _near(t: Fraction, radius: int, all_pairs: bool):
     return run
 
 
+def shared_shingles(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The number of common elements of the sets i and j, pair by pair: the sets as rows of bits, some columns at a time."""
+    _, rank = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(rank, kind="stable")
+    rank, row, found = rank[order], row[order], np.zeros(len(i), dtype=np.int64)
+    for low in range(0, int(rank[-1]) + 1 if len(rank) else 0, COLUMNS):
+        a, b = np.searchsorted(rank, [low, low + COLUMNS])
+        here, place = np.unique(row[a:b], return_inverse=True)
+        bits = np.zeros((len(here) + 1, COLUMNS), dtype=bool)  # the last row stands for sets without any of them
+        bits[place, rank[a:b] - low] = True
+        bits = np.packbits(bits, axis=1).view("<u8")
+        at = np.full(len(sets), len(here))
+        at[here] = np.arange(len(here))
+        for k in range(0, len(i), 16_384):
+            found[k : k + 16_384] += np.bitwise_count(bits[at[i[k : k + 16_384]]] & bits[at[j[k : k + 16_384]]]).sum(axis=1, dtype=np.int64)
+    return found
+
+
+def _near_and_similar(t: Fraction, radius: int):
+    """(key, node, n, f1, f2, c, asks, set) sorted by key -> links enough to connect all nodes of one key and different c,
+    one of which asks, that are near and similar. Pairs never leave the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            key, node, n, f1, f2, c = _columns(block.select(range(6)))
+            asks = np.nonzero(block.column(6).to_numpy(zero_copy_only=False))[0]
+            sets = [x.values.to_numpy(zero_copy_only=False) for x in block.column(7)]
+            fps = np.stack([f1, f2], axis=1).view(np.uint64)
+            for at in range(0, len(asks), BLOCK):
+                q = asks[at : at + BLOCK]
+                ok = (key[q][:, None] == key[None, :]) & (c[q][:, None] != c[None, :])
+                ok &= t.denominator * np.minimum(n[q][:, None], n[None, :]) >= t.numerator * np.maximum(n[q][:, None], n[None, :])
+                i, j = near_in_block(fps[q], fps, _mask(ok), radius)
+                if not len(i):
+                    continue
+                i = q[i]
+                both = shared_shingles(sets, i, j)
+                real = t.denominator * both >= t.numerator * (n[i] + n[j] - both)
+                nodes, place = np.unique(np.concatenate([node[i[real]], node[j[real]]]), return_inverse=True)
+                label = least_labels(len(nodes), place[: len(place) // 2], place[len(place) // 2 :])
+                moved = np.nonzero(label != np.arange(len(nodes)))[0]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[label[moved]]), pa.array(nodes[moved])], names=["a", "b"])
+
+    return run
+
+
 def _verified(pairs: DataFrame, sets_of, t: Fraction) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets have the similarity t or more, written."""
-    pairs = materialise(pairs.distinct())
+    """Of written different pairs (a, b) of nodes those whose sets have the similarity t or more, written."""
     held = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     met = pairs.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
@@ -390,36 +442,60 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
     """(h, node, n, f1, f2), a row for each first shingle of a node, and a function that reads the sets of nodes ->
     links enough to connect all nodes of similarity t or more.
 
-    First each node is linked to its nearest ones in each bucket, a crowded bucket being cut by a hash that differs from
-    bucket to bucket, with two of its members in every part. What this joins needs no more comparison: then the members
-    that are outside the largest group of their bucket are compared with all of the bucket that are not linked to them
-    by now, block by block."""
+    First, some rounds: each node is linked to its nearest ones outside its group in each bucket, a crowded bucket being
+    cut by a hash that differs from bucket to bucket and round to round, with two of its members in every part. What this
+    joins needs no more comparison: then the members that are outside the largest group of their bucket are compared with
+    all of the bucket that are not linked to them by now, block by block. Of a small bucket the near pairs are sent out
+    to be verified; the members of a larger one bring their sets, so that its pairs, a square of its size, never become
+    rows."""
     spark = met.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     near = lambda rows, all_pairs: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near(t, radius, all_pairs), "a long, b long")
     row = ["node", "n", "f1", "f2"]
-    mark = lambda seed: F.struct(F.xxhash64("node", "h", F.lit(seed)), *row)
-    crowds = materialise(met.groupBy("h").agg(F.count("*").alias("m"), F.min(mark(1)).alias("p1"), F.min(mark(2)).alias("p2")).filter(F.col("m") > most).withColumn("cuts", F.ceil(F.col("m") / most).cast("int")))
-    cut = met.join(maybe_broadcast(crowds.select("h", "cuts")), "h", "left")
-    own = cut.select(F.xxhash64("h", F.pmod(F.xxhash64("node", "h"), F.coalesce("cuts", F.lit(1))).cast("int")).alias("key"), *row)
-    leads = crowds.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).withColumn("p", F.explode(F.array("p1", "p2")))
-    rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in row]))
-    first = _verified(near(rows.select("*", F.col("node").alias("c"), F.lit(True).alias("asks")), False), sets_of, t)
-
-    label = materialise(components(first))
-    live = met.join(label, "node", "left").select("h", *row, F.coalesce("component", "node").alias("c"))
-    cells = live.groupBy("h", "c").agg(F.count("*").alias("k"))
-    open_ = cells.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("m"), F.count("*").alias("groups")).filter("groups > 1")
-    open_ = materialise(open_.select(F.col("h").alias("h_"), F.col("top.c").alias("big"), F.ceil(F.col("m") / most).cast("int").alias("cuts"), F.ceil((F.col("m") - F.col("top.k")) / most).cast("int").alias("slices")))
-    live = materialise(live.join(open_, F.col("h") == F.col("h_")).drop("h_"))
-    # A grid for each bucket: all of it in cuts, those outside its largest group also in slices.
-    place = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    place = lambda n, *seeds: F.pmod(F.xxhash64("node", *seeds), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    told = live.withColumn("cut", place("cuts", 3)).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"))
-    ask = live.filter("c != big").withColumn("slice", place("slices", 4)).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"))
-    rest = _verified(near(told.unionAll(ask), True), sets_of, t)
-    forget(crowds, label, open_, live)
-    return first.unionAll(rest)
+    links_, live, groups = None, met.withColumn("c", F.col("node")), None
+    for turn in range(NEAREST_ROUNDS):
+        mark = lambda seed, turn=turn: F.struct(F.xxhash64("node", "h", F.lit(2 * turn + seed)), *row, "c")
+        crowds = materialise(live.groupBy("h").agg(F.count("*").alias("m"), F.min(mark(0)).alias("p1"), F.min(mark(1)).alias("p2")).filter(F.col("m") > most).withColumn("cuts", F.ceil(F.col("m") / most).cast("int")))
+        cut = live.join(maybe_broadcast(crowds.select(F.col("h").alias("h_"), "cuts")), F.col("h") == F.col("h_"), "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+        own = cut.select(F.xxhash64("h", place("cuts", F.col("h"), F.lit(turn))).alias("key"), *row, "c")
+        leads = crowds.withColumn("cut", every("cuts")).withColumn("p", F.explode(F.array("p1", "p2")))
+        rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in (*row, "c")]))
+        pairs = materialise(near(rows.select("*", F.lit(True).alias("asks")), False).distinct())
+        if not turn:
+            # Who is near nobody in any bucket that was compared whole is done.
+            some = pairs.select(F.explode(F.array("a", "b")).alias("x_")).unionAll(cut.filter("cuts > 1").select("node")).distinct()
+            met = materialise(met.join(some, F.col("node") == F.col("x_"), "left_semi"))
+        new = _verified(pairs, sets_of, t)
+        links_ = new if links_ is None else links_.unionAll(new)
+        label = materialise(components(links_))
+        # Only buckets in which there is more than one group by now are looked at again.
+        named = met.join(label, "node", "left").select("h", *row, F.coalesce("component", "node").alias("c"))
+        cells = named.groupBy("h", "c").agg(F.count("*").alias("k"))
+        open_ = cells.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("m"), F.count("*").alias("groups")).filter("groups > 1")
+        open_ = materialise(open_.select(F.col("h").alias("h_"), F.col("top.c").alias("big"), F.col("top.k").alias("k"), "m", "groups"))
+        before, live = live, materialise(named.join(open_, F.col("h") == F.col("h_")).drop("h_"))
+        forget(before, crowds, label, open_)
+        open_pairs = live.select("h", "m", "k").distinct().agg(F.sum((F.col("m") - F.col("k")) * F.col("m")).alias("x")).first().x or 0
+        if not open_pairs or (groups is not None and open_pairs > groups / 2):
+            break
+        groups = open_pairs
+
+    # A grid for each bucket: all of it in cuts, those outside its largest group also in slices.
+    def grid(rows: DataFrame, *more: str) -> DataFrame:
+        sized = rows.withColumn("cuts", F.ceil(F.col("m") / most).cast("int")).withColumn("slices", F.ceil((F.col("m") - F.col("k")) / most).cast("int"))
+        told = sized.withColumn("cut", place("cuts", F.lit(3))).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"), *more)
+        ask = sized.filter("c != big").withColumn("slice", place("slices", F.lit(4))).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"), *more)
+        return told.unionAll(ask)
+
+    rest = _verified(materialise(near(grid(live.filter(F.col("m") <= CROWD)), True).distinct()), sets_of, t)
+    crowded = live.filter(F.col("m") > CROWD)
+    held = sets_of(crowded.select("node").distinct())
+    whole = grid(crowded.join(held.select(F.col("node").alias("node_"), "set"), F.col("node") == F.col("node_")), "set")
+    last = materialise(whole.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_and_similar(t, radius), "a long, b long"))
+    forget(held, live, met)
+    return links_.unionAll(rest).unionAll(last)
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:
@@ -456,6 +532,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return found
 
     links_ = similar(met, sets_of, t, radius, most)
+    forget(met)
     # Several texts of one id are tied to each other.
     same_id = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").join(known.select("id", "node"), "id").select("a", F.col("node").alias("b"))
     groups = components(links_.unionAll(same_id))
@@ -463,7 +540,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = named.groupBy("c").agg(F.min("rep").alias("least"))
     label = named.join(least, "c").select("node", "least")
     found = materialise(known.select("id", "node").join(label, "node").select(F.col("id").alias(id_col), F.col("least").alias("component")).unionAll(slim.filter("id is null").select(F.col("id").alias(id_col), F.lit(None).cast("long").alias("component"))))
-    forget(slim, nodes, met)
+    forget(slim, nodes)
     return found
 
 

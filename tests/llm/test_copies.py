@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
 from leafmill.llm import simhash
 
@@ -40,8 +41,9 @@ def brute(rows):
             return label
 
 
-@pytest.mark.parametrize("most", [1024, 9])
-def test_groups_equal_brute_force(spark, most):
+@pytest.mark.parametrize("most,crowd", [(1024, 32), (9, 3), (1024, 10**6)])
+def test_groups_equal_brute_force(spark, monkeypatch, most, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r.doc_id: r.component for r in simhash.near_copies(docs, most=most).collect()} == brute(rows)
@@ -61,3 +63,24 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.component) for r in simhash.near_copies(docs).collect())
     assert got == [(-1, None), (1, 1), (3, 1), (5, 5), (7, 5), (9, 9), (9, 9), (12, 9)]
     assert simhash.near_copies(docs.limit(0)).count() == 0
+
+
+def test_shared_shingles():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 30_000, n)) for n in (0, 5, 900, 20_000, 3, 20_000)]
+    i, j = (x.ravel() for x in np.meshgrid(range(6), range(6)))
+    assert simhash.shared_shingles(sets, i, j).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
+def test_a_crowd_of_loose_copies(spark):
+    """Texts of one template that are mostly under the similarity: every pair is compared, few are linked."""
+    rng = random.Random(8)
+    base = [rng.choice(VOCABULARY) for _ in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for k in rng.sample(range(120), rng.choice([2, 3, 4, 5])):
+            words[k] = rng.choice(VOCABULARY)
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and 1 < len(set(got.values())) < 150
