@@ -2,54 +2,17 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.sources.scratch import BROADCAST_ROWS, forget, materialise, maybe_broadcast, shared_dir
+
+__all__ = ["BROADCAST_ROWS", "FILTER_BITS", "SPACE", "WORD", "forget", "materialise", "maybe_broadcast", "n_words", "shared", "shared_dir", "split_by", "table"]
+
 #: A word is a run of characters outside these six; both patterns are read by Java and by RE2.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: A table of at most so many rows may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 10_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, one of our own, in the
-    warehouse on a cluster and a temporary one in local mode, where there are no other machines."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.leafmill.shared.dir", None)
-    if not found:
-        local = re.fullmatch(r"local(\[.*)?", spark.sparkContext.master)
-        found = "file://" + tempfile.mkdtemp(prefix="leafmill-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/leafmill-work"
-        spark.conf.set("spark.leafmill.shared.dir", found)
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again.
-
-    It cuts the lineage as checkpoint() does, survives the loss of executors, and computes df once
-    where an eager checkpoint computes it twice. forget() deletes the files."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/leafmill/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    found = spark.read.schema(df.schema).parquet(path)
-    found.written_to = path
-    return found
-
-
-def forget(*tables: DataFrame) -> None:
-    """Deletes the files of materialised tables that nothing reads any more; other tables are left alone."""
-    for df in tables:
-        if found := getattr(df, "written_to", None):
-            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-            path = jvm.org.apache.hadoop.fs.Path(found)
-            path.getFileSystem(conf).delete(path, True)
-
-
 _SHARED: dict[str, object] = {}
 
 
@@ -62,13 +25,8 @@ def shared(key: str, make):
     return _SHARED[key]
 
 
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `most` rows, else unchanged. df should be cheap to read again."""
-    return F.broadcast(df) if len(df.limit(most + 1).take(most + 1)) <= most else df
-
-
-#: Most bits of a filter of hashes, which bounds what is broadcast for it (16 MB).
-FILTER_BITS = 1 << 27
+#: Most bits of a filter of hashes, which bounds what is broadcast for it (half a million rows of 64 bits).
+FILTER_BITS = 1 << 25
 
 
 def split_by(rows: DataFrame, by: str, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
