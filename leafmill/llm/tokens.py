@@ -7,6 +7,7 @@ many tokens are closed on the way (precomputed), so a word is counted in one pas
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -22,8 +23,14 @@ from leafmill.llm.common import shared, table
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 #: What the vocabulary file itself says of its text: how words are cut, after NFC and lower case.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-RUN = regex.compile(r"\S+")
+#: The same words where all characters are ASCII, for which a simpler pattern does.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+#: White space of Unicode, which is what \s is in the pattern of words.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+RUN = re.compile(f"[^{BLANKS}]+")
 WORD_END = 256
+#: Words between the places where a text may be cut.
+STEP = 32
 CACHE = 500_000
 
 
@@ -117,35 +124,43 @@ class Tokens:
         """Words and tokens."""
         if not text:
             return 0, 0
-        text = text if text.isascii() else unicodedata.normalize("NFC", text)
-        words = WORDS.findall(text.lower())
+        words = ASCII_WORDS.findall(text.lower()) if text.isascii() else WORDS.findall(unicodedata.normalize("NFC", text).lower())
         return len(words), sum(map(self.known.__getitem__, words))
 
     def cut(self, text: str | None, most: int) -> Iterator[tuple[int, int, int]]:
-        """(start, end, tokens) of pieces of `most` tokens at most, cut at white space; only a run of characters that has
-        more by itself is cut inside, after characters that cannot have more (a character has four bytes at most)."""
-        whole = self.count(text)[1]
-        if not whole:
+        """(start, end, tokens) of pieces of `most` tokens at most, cut at every STEP-th white space, so that they are full
+        but for less than STEP words; where STEP words have too many tokens, at any white space, and inside a run of
+        characters that has too many by itself, after characters that cannot have more (four bytes each).
+
+        Words never reach across white space, so the counts of parts add up to that of the text."""
+        if not text:
+            return
+        if len(text) <= 4 * most and (whole := self.count(text)[1]) <= most:
+            if whole:
+                yield 0, len(text), whole
             return
-        if whole <= most:
-            yield 0, len(text), whole
+        starts = [m.start() for m in RUN.finditer(text)]
+        bounds = [*starts[::STEP], len(text)]
+        parts = [(a, b, self.count(text[a:b])[1]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        if len(parts) and sum(n for _, _, n in parts) <= most:
+            yield 0, len(text), sum(n for _, _, n in parts)
             return
-        start = end = held = 0
-        for m in RUN.finditer(text):
-            runs = [m.span()]
-            if self.count(m.group())[1] > most:
-                step = max(1, most // 4)
-                runs = [(at, min(at + step, m.end())) for at in range(m.start(), m.end(), step)]
-            for a, b in runs:
-                n = self.count(text[a:b])[1]
-                if held and held + n > most:
-                    yield start, end, held
-                    held = 0
-                if not held:
-                    start = a
-                end, held = b, held + n
+        if any(n > most for _, _, n in parts):
+            step, finer = max(1, most // 4), []
+            for a, b, n in parts:
+                runs = [(a + m.start(), a + m.end()) for m in RUN.finditer(text[a:b])] if n > most else [(a, b)]
+                for c, d in runs:
+                    k = n if n <= most else self.count(text[c:d])[1]
+                    finer += [(c, d, k)] if k <= most else [(i, min(i + step, d), self.count(text[i : min(i + step, d)])[1]) for i in range(c, d, step)]
+            parts = finer
+        start, end, held = parts[0][0], parts[0][0], 0
+        for a, b, n in parts:
+            if held + n > most:
+                yield start, start + len(text[start:end].rstrip(BLANKS)), held
+                start, held = a, 0
+            end, held = b, held + n
         if held:
-            yield start, end, held
+            yield start, start + len(text[start:end].rstrip(BLANKS)), held
 
 
 def tokens_of(path: str):
