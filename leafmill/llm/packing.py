@@ -57,7 +57,7 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, k: int) -> list[int]:
 
 
 def _cut(max_len: int, tokens):
-    """(id, text) -> (id, tag, piece, first_char, text, n_tokens)."""
+    """(id, text) -> (id, tag, piece, first_char, n_chars, text, n_tokens)."""
 
     def words(text: str | None) -> Iterator[tuple[int, int, int]]:
         start = end = n = 0
@@ -88,24 +88,24 @@ def _cut(max_len: int, tokens):
                     texts.append(text[a:b])
                     sizes.append(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of, pa.int64())), pa.array(tag, pa.int64()), pa.array(piece, pa.int32()), pa.array(first, pa.int64()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32())],
-                names=["id", "tag", "piece", "first_char", "text", "n_tokens"],
+                [batch.column(0).take(pa.array(of, pa.int64())), pa.array(tag, pa.int64()), pa.array(piece, pa.int32()), pa.array(first, pa.int64()), pa.array(list(map(len, texts)), pa.int64()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32())],
+                names=["id", "tag", "piece", "first_char", "n_chars", "text", "n_tokens"],
             )
 
     return run
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, max_len: int = MAX_LEN, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
-    """(id, piece, first_char, text, n_tokens, boundary, padding, batch_id, slot): a row for each piece of each row of docs.
+    """(id, piece, first_char, n_chars, text, n_tokens, boundary, padding, batch_id, slot): a row for each piece of each row of docs.
 
     Texts are cut at white space into pieces of at most max_len tokens of the vocabulary (words where there is none), the
     last one shorter; a piece's text stands at first_char of the row's. A piece is padded to its bucket's boundary; a
     batch holds batch_tokens // boundary pieces (one at least) of one bucket, so only a bucket's last batch can be short:
     the rows of a batch_id, by slot, are the batch. Null and empty texts have no piece; repeated rows are packed each on
     its own, in any order among themselves; other columns are dropped, whatever their names; an empty table gives no rows.
-    The histogram that reaches the driver has at most max_len rows, the table of offsets buckets * SHARDS."""
+    Without the text column no text is shuffled. The histogram that reaches the driver has at most max_len rows, the table of offsets buckets * SHARDS."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {dict(base.dtypes)['id']}, tag long, piece int, first_char long, text string, n_tokens int"
+    schema = f"id {dict(base.dtypes)['id']}, tag long, piece int, first_char long, n_chars long, text string, n_tokens int"
     rows = materialise(base.mapInArrow(_cut(max_len, tokens_of(vocabulary) if vocabulary else None), schema))
     hist = rows.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     ends = boundaries(np.array([r[0] for r in hist], dtype=np.int64), np.array([r[1] for r in hist], dtype=np.int64), buckets)
@@ -122,11 +122,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     numbered = placed.join(F.broadcast(offsets), ["boundary", "shard"]).withColumn("at", F.col("offset") + F.row_number().over(own) - 1)
     per = F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("boundary"))).cast("long")
     return numbered.select(
-        F.col("id").alias(id_col), "piece", "first_char", "text", "n_tokens", "boundary", (F.col("boundary") - F.col("n_tokens")).alias("padding"),
+        F.col("id").alias(id_col), "piece", "first_char", "n_chars", "text", "n_tokens", "boundary", (F.col("boundary") - F.col("n_tokens")).alias("padding"),
         F.concat_ws("-", F.col("boundary").cast("string"), F.floor(F.col("at") / per).cast("string")).alias("batch_id"), F.pmod("at", per).cast("int").alias("slot"),
     )
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack(table(spark, sf_dir, "documents"), vocabulary=vocabulary_path(spark))
-    return found.select("doc_id", "piece", "first_char", F.length("text").alias("n_chars"), "n_tokens", "boundary", "padding", "batch_id", "slot")
+    return found.select("doc_id", "piece", "first_char", "n_chars", "n_tokens", "boundary", "padding", "batch_id", "slot")
