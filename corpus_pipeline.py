@@ -55,7 +55,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batches of pieces with their texts: (doc_id, piece, first_char, text, n_tokens, boundary, padding, batch_id, slot).
+    """Batches of pieces with their texts: (doc_id, piece, first_char, n_chars, text, n_tokens, boundary, padding, batch_id, slot).
     A row that the mix takes twice is two rows here, in batches of their own; null and empty texts have no piece."""
     return packing.pack(docs, vocabulary=tokens.vocabulary_path(spark))
 
