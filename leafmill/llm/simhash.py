@@ -41,8 +41,11 @@ BLOCK = 1024
 LANES, WAITING = 256, 32_000_000
 #: Rounds in which nodes are linked to their nearest ones in other groups before all that is left is compared.
 NEAREST_ROUNDS = 4
-#: A bucket of more members than this that is still open is sent with the whole sets and verified where it is compared.
-CROWD = 64
+#: A part of a bucket of more rows than CROWD with more near pairs than PAIRS_A_ROW for each of them sends no pairs: its
+#: rows are sent again with their whole sets and verified where they are compared.
+CROWD, PAIRS_A_ROW = 64, 16
+#: Whole sets are sent to be verified in turns of at most TURN times as many as there are, or FEW; a turn's files go after it.
+TURN, FEW = 4, 20_000
 #: Shingles that are counted at a time when sets are compared as bits.
 COLUMNS = 8192
 #: Documents whose shingles tell the frequent ones, and how many of these are told apart at most.
@@ -349,16 +352,18 @@ def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], counts[order]
 
 
-def _near(t: Fraction, radius: int, all_pairs: bool):
+def _near(t: Fraction, radius: int, all_pairs: bool, crowd: int, most: int):
     """(key, node, n, f1, f2, c, asks) sorted by key -> pairs (a, b) of nodes of one key and different c, one of which
     asks, whose sizes allow the similarity and whose fingerprints are near: all of them, or of each node that with the
-    nearest other and that with the nearest one before it."""
+    nearest other and that with the nearest one before it. Where all are asked for and a key of more than `crowd` rows has
+    more than `most` pairs a row, the key comes instead of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             key, node, n, f1, f2, c = _columns(block.select(range(6)))
             asks = np.nonzero(block.column(6).to_numpy(zero_copy_only=False))[0]
             fps = np.stack([f1, f2], axis=1).view(np.uint64)
+            names, which, rows = np.unique(key, return_inverse=True, return_counts=True)
             for at in range(0, len(asks), BLOCK):
                 q = asks[at : at + BLOCK]
                 ok = (key[q][:, None] == key[None, :]) & (c[q][:, None] != c[None, :])
@@ -366,8 +371,12 @@ def _near(t: Fraction, radius: int, all_pairs: bool):
                 i, j = near_in_block(fps[q], fps, _mask(ok), radius)
                 if not len(i):
                     continue
-                i = q[i]
-                if not all_pairs:
+                i, dense = q[i], np.empty(0, dtype=np.int64)
+                if all_pairs:
+                    many = (np.bincount(which[i], minlength=len(names)) > most * rows) & (rows > crowd)
+                    dense, sparse = names[many], ~many[which[i]]
+                    i, j = i[sparse], j[sparse]
+                else:
                     far = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1)
                     kept = []
                     for use in (np.arange(len(i)), np.nonzero(j < i)[0]):
@@ -376,7 +385,11 @@ def _near(t: Fraction, radius: int, all_pairs: bool):
                     kept = np.unique(np.concatenate(kept))
                     i, j = i[kept], j[kept]
                 a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                none = lambda k: pa.nulls(k, pa.int64())
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([none(len(a)), pa.array(a), pa.array(b)], names=["dense", "a", "b"])
+                if len(dense):
+                    yield pa.RecordBatch.from_arrays([pa.array(dense), none(len(dense)), none(len(dense))], names=["dense", "a", "b"])
 
     return run
 
@@ -428,14 +441,29 @@ def _near_and_similar(t: Fraction, radius: int):
     return run
 
 
+def _turns(rows: DataFrame, by: str, sent: int, nodes: int) -> Iterator[DataFrame]:
+    """rows, which send `sent` sets of `nodes` nodes, in parts by the hash of a column that send few enough at a time."""
+    turns = max(1, -(-sent // max(FEW, TURN * nodes)))
+    for k in range(turns):
+        yield rows.filter(F.pmod(F.xxhash64(by, F.lit("turn")), F.lit(turns)) == k) if turns > 1 else rows
+
+
+def _all_of(tables: list[DataFrame]) -> DataFrame:
+    whole = tables[0]
+    for more in tables[1:]:
+        whole = whole.unionAll(more)
+    return whole
+
+
 def _verified(pairs: DataFrame, sets_of, t: Fraction) -> DataFrame:
     """Of written different pairs (a, b) of nodes those whose sets have the similarity t or more, written."""
     held = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    met = pairs.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    found = materialise(met.filter(t.denominator * both >= t.numerator * (F.size("x") + F.size("y") - both)).select("a", "b"))
-    forget(pairs, held)
-    return found
+    both, found = F.size(F.array_intersect("x", "y")), []
+    for some in _turns(pairs, "a", pairs.count(), held.count()):
+        met = some.join(held.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        found.append(materialise(met.filter(t.denominator * both >= t.numerator * (F.size("x") + F.size("y") - both)).select("a", "b")))
+    forget(held)
+    return _all_of(found)
 
 
 def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:
@@ -445,12 +473,13 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
     First, some rounds: each node is linked to its nearest ones outside its group in each bucket, a crowded bucket being
     cut by a hash that differs from bucket to bucket and round to round, with two of its members in every part. What this
     joins needs no more comparison: then the members that are outside the largest group of their bucket are compared with
-    all of the bucket that are not linked to them by now, block by block. Of a small bucket the near pairs are sent out
-    to be verified; the members of a larger one bring their sets, so that its pairs, a square of its size, never become
-    rows."""
+    all of the bucket that are not linked to them by now, block by block, by their fingerprints. The near pairs, most of
+    which come from many buckets, are verified once each; where they are too many for that, as in a large family of loose
+    copies, the rows are compared again with their sets, so that pairs, a square of its size, never become rows. Sets are
+    sent in turns, so the disk they take is a few times what they have, however many pairs and buckets there are."""
     spark = met.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    near = lambda rows, all_pairs: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near(t, radius, all_pairs), "a long, b long")
+    near = lambda rows, all_pairs: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near(t, radius, all_pairs, CROWD, PAIRS_A_ROW), "dense long, a long, b long").distinct()
     row = ["node", "n", "f1", "f2"]
     place = lambda n, *seeds: F.pmod(F.xxhash64("node", *seeds), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -462,12 +491,13 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
         own = cut.select(F.xxhash64("h", place("cuts", F.col("h"), F.lit(turn))).alias("key"), *row, "c")
         leads = crowds.withColumn("cut", every("cuts")).withColumn("p", F.explode(F.array("p1", "p2")))
         rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in (*row, "c")]))
-        pairs = materialise(near(rows.select("*", F.lit(True).alias("asks")), False).distinct())
+        pairs = materialise(near(rows.select("*", F.lit(True).alias("asks")), False).select("a", "b"))
         if not turn:
             # Who is near nobody in any bucket that was compared whole is done.
             some = pairs.select(F.explode(F.array("a", "b")).alias("x_")).unionAll(cut.filter("cuts > 1").select("node")).distinct()
             met = materialise(met.join(some, F.col("node") == F.col("x_"), "left_semi"))
         new = _verified(pairs, sets_of, t)
+        forget(pairs)
         links_ = new if links_ is None else links_.unionAll(new)
         label = materialise(components(links_))
         # Only buckets in which there is more than one group by now are looked at again.
@@ -483,19 +513,21 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
         groups = open_pairs
 
     # A grid for each bucket: all of it in cuts, those outside its largest group also in slices.
-    def grid(rows: DataFrame, *more: str) -> DataFrame:
-        sized = rows.withColumn("cuts", F.ceil(F.col("m") / most).cast("int")).withColumn("slices", F.ceil((F.col("m") - F.col("k")) / most).cast("int"))
-        told = sized.withColumn("cut", place("cuts", F.lit(3))).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"), *more)
-        ask = sized.filter("c != big").withColumn("slice", place("slices", F.lit(4))).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"), *more)
-        return told.unionAll(ask)
-
-    rest = _verified(materialise(near(grid(live.filter(F.col("m") <= CROWD)), True).distinct()), sets_of, t)
-    crowded = live.filter(F.col("m") > CROWD)
+    sized = live.withColumn("cuts", F.ceil(F.col("m") / most).cast("int")).withColumn("slices", F.ceil((F.col("m") - F.col("k")) / most).cast("int"))
+    told = sized.withColumn("cut", place("cuts", F.lit(3))).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"))
+    ask = sized.filter("c != big").withColumn("slice", place("slices", F.lit(4))).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"))
+    cells = told.unionAll(ask)
+    seen = materialise(near(cells, True))
+    rest = _verified(seen.filter("dense is null").select("a", "b"), sets_of, t)
+    crowded = materialise(cells.join(seen.filter("dense is not null").select(F.col("dense").alias("key")), "key", "left_semi"))
     held = sets_of(crowded.select("node").distinct())
-    whole = grid(crowded.join(held.select(F.col("node").alias("node_"), "set"), F.col("node") == F.col("node_")), "set")
-    last = materialise(whole.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_and_similar(t, radius), "a long, b long"))
-    forget(held, live, met)
-    return links_.unionAll(rest).unionAll(last)
+    sets = held.select(F.col("node").alias("node_"), "set")
+    last = []
+    for some in _turns(crowded, "key", crowded.count(), held.count()):
+        whole = some.join(sets, F.col("node") == F.col("node_")).drop("node_")
+        last.append(materialise(whole.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_and_similar(t, radius), "a long, b long").distinct()))
+    forget(seen, crowded, held, live, met)
+    return links_.unionAll(rest).unionAll(_all_of(last))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:

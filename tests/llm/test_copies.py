@@ -84,3 +84,62 @@ def test_a_crowd_of_loose_copies(spark):
         rows.append((i, " ".join(words)))
     got = {r.doc_id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows) and 1 < len(set(got.values())) < 150
+
+
+def loose_families(rng, families, size, words, changed):
+    out = []
+    for _ in range(families):
+        base = [rng.choice(VOCABULARY) for _ in range(words)]
+        for _ in range(size):
+            w = list(base)
+            for k in rng.sample(range(words), changed):
+                w[k] = rng.choice(VOCABULARY)
+            out.append(" ".join(w))
+    return list(enumerate(out))
+
+
+def test_sets_are_not_sent_once_a_bucket(spark, monkeypatch):
+    """Families whose texts meet in many buckets: a text's set is sent to be compared once at most, not once a bucket."""
+    monkeypatch.setattr(simhash, "CROWD", 8)
+    sent, real = spark.sparkContext.accumulator(0), simhash._near_and_similar
+
+    def counted(*args):
+        run = real(*args)
+
+        def seen(batches):
+            for batch in batches:
+                sent.add(batch.num_rows)
+                yield batch
+
+        return lambda batches: run(seen(batches))
+
+    monkeypatch.setattr(simhash, "_near_and_similar", counted)
+    rows = loose_families(random.Random(5), 6, 24, 220, 9)
+    got = {r.doc_id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    assert sent.value <= len(rows)
+
+
+def test_sets_in_turns(spark, monkeypatch):
+    """Every crowded part is compared with whole sets, a few at a time."""
+    for name, value in (("CROWD", 3), ("PAIRS_A_ROW", 0), ("TURN", 1), ("FEW", 7)):
+        monkeypatch.setattr(simhash, name, value)
+    rows = loose_families(random.Random(6), 2, 20, 120, 4)
+    got = {r.doc_id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), most=12).collect()}
+    assert got == brute(rows)
+
+
+def test_shuffle_files_go_with_their_statement(spark):
+    import time
+
+    from leafmill.sources import scratch
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    written = lambda: sum(f.getName().startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles()))
+    before = written()
+    table = scratch.materialise(spark.range(1000).repartition(7, "id"))
+    end = time.time() + 10  # files are deleted beside the next statements
+    while written() > before and time.time() < end:
+        time.sleep(0.1)
+    assert written() <= before and table.count() == 1000
+    scratch.forget(table)
