@@ -55,16 +55,20 @@ def listing(spark: SparkSession, path: str, known: DataFrame | None = None) -> D
 
 def ragged_to_rows(shards: DataFrame) -> DataFrame:
     """(ids array<struct<doc,page>>, offsets array<long>, cls array<int>) -> a row for each id with its slice of cls."""
-    rows = shards.select(F.posexplode("ids").alias("i", "id"), "offsets", "cls")
-    start, end = F.get("offsets", F.col("i")), F.get("offsets", F.col("i") + 1)
-    return rows.select("id.doc", "id.page", F.slice("cls", (start + 1).cast("int"), (end - start).cast("int")).alias("cls"))
+    start, end = lambda i: F.get("offsets", i), lambda i: F.get("offsets", i + 1)
+    # Each id gets its own slice before they are rows: a row never carries the shard's arrays.
+    own = lambda x, i: F.struct(x["doc"].alias("doc"), x["page"].alias("page"), F.slice("cls", (start(i) + 1).cast("int"), (end(i) - start(i)).cast("int")).alias("cls"))
+    return shards.select(F.explode(F.transform("ids", own)).alias("r")).select("r.doc", "r.page", "r.cls")
 
 
 def rows_to_ragged(rows: DataFrame, by: Sequence[str], doc: str = "doc", page: str = "page", cls: str = "cls") -> DataFrame:
-    """The reverse: one shard for each group, ids sorted. Groups are shards of bounded size (cut by shard_numbers)."""
-    packed = rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(doc).alias("doc"), F.col(page).alias("page"), F.col(cls).alias("c")))).alias("r"))
+    """The reverse: one shard for each group, ids sorted; a null list is an empty one. Groups are shards of bounded size
+    (cut by shard_numbers). Offsets are a running sum over the group, linear in its size."""
+    plain = rows.select(*by, F.col(doc).alias("doc"), F.col(page).alias("page"), F.coalesce(F.col(cls), F.array().cast(dict(rows.dtypes)[cls])).alias("c"))
+    upto = F.sum(F.size("c").cast("long")).over(Window.partitionBy(*by).orderBy("doc", "page", "c").rowsBetween(Window.unboundedPreceding, 0))
+    packed = plain.withColumn("upto", upto).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("doc", "page", "c", "upto"))).alias("r"))
     ids = F.transform("r", lambda x: F.struct(x["doc"].alias("doc"), x["page"].alias("page")))
-    offsets = F.transform(F.sequence(F.lit(0), F.size("r")), lambda n: F.aggregate(F.slice("r", F.lit(1), n), F.lit(0).cast("long"), lambda a, x: a + F.size(x["c"])))
+    offsets = F.concat(F.array(F.lit(0).cast("long")), F.transform("r", lambda x: x["upto"]))
     return packed.select(*by, ids.alias("ids"), offsets.alias("offsets"), F.flatten(F.transform("r", lambda x: x["c"])).alias("cls"))
 
 

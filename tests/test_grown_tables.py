@@ -21,3 +21,19 @@ def test_lines_do_not_hang_on_the_parts(spark, monkeypatch):
     monkeypatch.setattr(records, "FIELDS_A_PART", 7)
     assert {tuple(r) for r in records.pick_lines(fields, bank).collect()} == whole
     assert {r[0] for r in whole} == {"en"} and (7, 1) not in {r[1:3] for r in whole}
+
+
+def test_a_large_shard(spark):
+    """Offsets of one shard of 60,000 ids are a running sum and each id takes its own slice; ties and null lists too."""
+    import time
+
+    from leafmill.sources import files
+
+    rows = spark.range(60_000).selectExpr("0 as shard", "cast(id % 20000 as int) as doc", "cast(id % 3 as int) as page", "if(id % 7 = 0, null, if(id % 4 = 0, array(), transform(sequence(1, cast(id % 4 as int)), i -> id))) as cls")
+    start = time.time()
+    shards = files.rows_to_ragged(rows, ["shard"])
+    got = sorted((r.doc, r.page, r.cls) for r in files.ragged_to_rows(shards).collect())
+    assert time.time() - start < 60
+    assert got == sorted((r.doc, r.page, r.cls or []) for r in rows.collect())
+    r = shards.first()
+    assert len(r.offsets) == 60_001 and r.offsets[-1] == len(r.cls) and r.offsets[0] == 0
