@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from fractions import Fraction
 
 import pandas as pd
 import regex
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from leafmill.sources.scratch import materialise
+
 #: Vowel signs written before their consonant but spoken after it, by block; text keeps them behind.
 PREFIX_SIGNS = "िিেৈਿિେୈெேைെേൈ"
 FORMS = regex.compile(r"[ﭐ-﷿ﹰ-ﻼ]")
@@ -142,10 +145,25 @@ def coverage_class(texts: DataFrame, lang: str, text: str, glyphs: DataFrame, fu
 
 def nearest_shapes(glyphs: DataFrame, known: DataFrame, key: str, bitmap: str, label: str, least: float = 0.8) -> DataFrame:
     """(key, label, score): the known glyph whose shape agrees best: shared ink over all ink of two bitmaps of equal size,
-    given as sorted arrays of the numbers of inked cells. Pairs meet over shared cells; counts are summed before they move."""
-    a = glyphs.select(F.col(key).alias("k_"), F.explode(bitmap).alias("c_"))
-    b = known.select(F.col(label).alias("x_"), F.explode(bitmap).alias("c_"))
-    both = a.join(b, "c_").groupBy("k_", "x_").agg(F.count("*").alias("both"))
-    na, nb = glyphs.select(F.col(key).alias("k_"), F.size(bitmap).alias("na")), known.select(F.col(label).alias("x_"), F.size(bitmap).alias("nb"))
-    scored = both.join(na, "k_").join(nb, "x_").withColumn("score", F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).filter(F.col("score") >= least)
-    return scored.groupBy(F.col("k_").alias(key)).agg(F.max_by("x_", F.struct("score", "x_")).alias(label), F.max("score").alias("score"))
+    given as sorted arrays of the numbers of inked cells.
+
+    Equal bitmaps are compared once, the known one under its last label. Two of score t share one of the n - ceil(t n) + 1
+    rarest cells of the smaller's or larger's n, so shapes meet by those alone; then all cells are compared."""
+    t = Fraction(str(least))
+    a = glyphs.select(F.col(key).alias("k_"), F.col(bitmap).alias("a_"))
+    b = known.filter(F.col(label).isNotNull()).groupBy(F.col(bitmap).alias("b_")).agg(F.max(label).alias("x_"))
+    shapes = materialise(a.select(F.col("a_").alias("s_")).filter("s_ is not null").distinct())
+    b = materialise(b.filter("b_ is not null"))
+    often = b.select(F.explode("b_").alias("c_")).groupBy("c_").agg(F.count("*").alias("n_"))
+
+    def firsts(rows: DataFrame, name: str) -> DataFrame:
+        size = F.size(name)
+        share = F.floor((size * t.numerator + (t.denominator - 1)) / F.lit(t.denominator))
+        met = rows.select(name, F.explode(name).alias("c_")).join(often, "c_", "left").groupBy(name).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n_", F.lit(0)).alias("n"), "c_"))).alias("o_"))
+        return met.select(name, F.explode(F.slice("o_", F.lit(1), F.greatest(size - share + 1, F.lit(0)).cast("int"))).alias("o_")).select(name, F.col("o_.c_").alias("c_"))
+
+    pairs = firsts(shapes, "s_").join(firsts(b.select("b_"), "b_"), "c_").select("s_", "b_").distinct()
+    both = F.size(F.filter(F.array_intersect("s_", "b_"), lambda c: c.isNotNull()))
+    scored = pairs.withColumn("both", both).withColumn("score", F.col("both") / (F.size("s_") + F.size("b_") - F.col("both"))).filter((F.col("both") > 0) & (F.col("score") >= least))
+    best = scored.join(b, "b_").groupBy("s_").agg(F.max_by("x_", F.struct("score", "x_")).alias(label), F.max("score").alias("score"))
+    return a.join(best, F.col("a_") == F.col("s_")).select(F.col("k_").alias(key), label, "score")

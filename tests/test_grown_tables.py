@@ -37,3 +37,27 @@ def test_a_large_shard(spark):
     assert got == sorted((r.doc, r.page, r.cls or []) for r in rows.collect())
     r = shards.first()
     assert len(r.offsets) == 60_001 and r.offsets[-1] == len(r.cls) and r.offsets[0] == 0
+
+
+def test_shapes_of_many_glyphs(spark):
+    """Equal bitmaps are compared once, shapes meet by their rarest cells; the result is the one of all pairs."""
+    import random
+
+    from leafmill.functions import decoding
+
+    rng = random.Random(3)
+    bitmap = lambda: sorted(rng.sample(range(9), rng.randrange(0, 9)))
+    known = [(f"w{i}", bitmap()) for i in range(120)] + [(None, [1, 2])]
+    glyphs = [(i, bitmap()) for i in range(200)] + [(200, None)]
+    k, g = spark.createDataFrame(known, "label string, b array<int>"), spark.createDataFrame(glyphs, "k long, b array<int>")
+    for least in (0.5, 0.8, 2 / 3):
+        want = {}
+        for i, a in glyphs:
+            scores = [(len(set(a) & set(b)) / len(set(a) | set(b)), x) for x, b in known if x and a and set(a) & set(b)]
+            if scores and max(scores)[0] >= least:
+                want[i] = max(scores)[::-1]
+        assert {r.k: (r.label, r.score) for r in decoding.nearest_shapes(g, k, "k", "b", "label", least).collect()} == want
+    # 20,000 glyphs and 20,000 labels of two bitmaps: 4 * 10**8 pairs.
+    many = lambda c, n: spark.range(n).selectExpr(f"{c}", "if(id % 2 = 0, array(1, 2, 3), array(1, 2, 3, 4)) as b")
+    out = decoding.nearest_shapes(many("id as k", 20_000), many("id as label", 20_000), "k", "b", "label").groupBy("label", "score").count().collect()
+    assert sorted(tuple(r) for r in out) == [(19_998, 1.0, 10_000), (19_999, 1.0, 10_000)]
