@@ -40,13 +40,36 @@ def resolve(rows: DataFrame, steps: Sequence[tuple[DataFrame, str, str]], out: s
 
 def box_match(true: DataFrame, found: DataFrame, page: str, share: float = 0.5) -> DataFrame:
     """Per source: true boxes and those hit (overlapped by more than `share`), found boxes and those that hit none.
-    Boxes have id, x0, y0, x1, y1; found ones a source."""
-    f = found.select(page, F.col("source"), F.col("id").alias("fid"), *[F.col(c).alias(f"f{c}") for c in ("x0", "y0", "x1", "y1")])
+    Boxes have id, x0, y0, x1, y1; found ones a source.
+
+    Only which boxes meet matters, so equal boxes of a page are compared once. They meet in a grid whose cells are as large
+    as the page's largest box, four cells a box at most; a box with a corner that is null or not finite meets its whole page."""
+    corners = ["x0", "y0", "x1", "y1"]
+    t = true.select(F.col(page).alias("p_"), *corners).distinct()
+    f = found.select(F.col(page).alias("p_"), *[F.col(c).alias(f"f{c}") for c in corners], "source").distinct()
+    plain = lambda names: F.greatest(*[F.coalesce(F.abs(F.col(c).cast("double")) >= float("inf"), F.lit(True)) for c in names]) == F.lit(False)
+    fc = [f"f{c}" for c in corners]
+    sizes = t.filter(plain(corners)).select("p_", *corners).unionAll(f.filter(plain(fc)).select("p_", *fc))
+    grid = sizes.groupBy("p_").agg(F.min("x0").alias("gx"), F.min("y0").alias("gy"), F.max(F.col("x1") - F.col("x0")).alias("gw"), F.max(F.col("y1") - F.col("y0")).alias("gh"))
+
+    def cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        x0, y0, x1, y1 = names
+        cell = lambda c, low, size: F.when(F.col(size) > 0, F.floor(F.least((F.col(c) - F.col(low)) / F.when(F.col(size) > 0, F.col(size)), F.lit(1e15)))).otherwise(F.lit(0).cast("long"))
+        met = rows.join(grid, "p_").filter((F.col(x1) > F.col(x0)) & (F.col(y1) > F.col(y0)))
+        met = met.withColumn("cx", F.explode(F.sequence(cell(x0, "gx", "gw"), cell(x1, "gx", "gw")))).withColumn("cy", F.explode(F.sequence(cell(y0, "gy", "gh"), cell(y1, "gy", "gh"))))
+        return met.drop("gx", "gy", "gw", "gh")
+
+    near = cells(t.filter(plain(corners)), corners).join(cells(f.filter(plain(fc)), fc), ["p_", "cx", "cy"]).drop("cx", "cy")
+    odd = t.filter(~plain(corners)).join(f, "p_").unionByName(t.filter(plain(corners)).join(f.filter(~plain(fc)), "p_"))
     w = F.greatest(F.least("x1", "fx1") - F.greatest("x0", "fx0"), F.lit(0))
     h = F.greatest(F.least("y1", "fy1") - F.greatest("y0", "fy0"), F.lit(0))
-    met = true.join(f, page).withColumn("s_", F.try_divide(w * h, (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))).filter("s_ > 0")
-    hit = met.filter(F.col("s_") > share).select("source", page, "id").distinct().groupBy("source").agg(F.count("*").alias("hit"))
-    on = met.select("source", page, "fid").distinct().groupBy("source").agg(F.count("*").alias("on"))
+    met = near.unionByName(odd).withColumn("s_", F.try_divide(w * h, (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))).filter("s_ > 0")
+    hits = met.filter(F.col("s_") > share).select("source", "p_", *corners).distinct()
+    same = lambda names, other: [F.col(page) == F.col("p_"), *[F.col(c).eqNullSafe(F.col(o)) for c, o in zip(names, other, strict=True)]]
+    marks = hits.select("source", "p_", *[F.col(c).alias(f"h{c}") for c in corners])
+    hit = true.join(marks, same(corners, [f"h{c}" for c in corners])).select("source", page, "id").distinct().groupBy("source").agg(F.count("*").alias("hit"))
+    touched = met.select(F.col("source").alias("s2_"), "p_", *fc).distinct()
+    on = found.join(touched, [*same(corners, fc), F.col("source").eqNullSafe(F.col("s2_"))]).select("source", page, "id").distinct().groupBy("source").agg(F.count("*").alias("on"))
     total = found.groupBy("source").agg(F.count("*").alias("found"))
     n = true.agg(F.count("*").alias("boxes"))
     out = total.join(hit, "source", "left").join(on, "source", "left").crossJoin(F.broadcast(n))
