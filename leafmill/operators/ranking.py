@@ -28,9 +28,10 @@ def round_robin(df: DataFrame, turn: str, order: Sequence, n: int, within: Seque
     return dealt.filter(F.col("turn_") <= n).withColumn("pick", F.row_number().over(Window.partitionBy(*within).orderBy("turn_", turn))).filter(F.col("pick") <= n).drop("turn_")
 
 
-def fair_blocks(df: DataFrame, host: str, key: str, block: int = 4) -> DataFrame:
-    """Blocks of `block` rows of a host in turn, hosts and rows inside in hashed order; `block` numbers the turn."""
-    at = F.row_number().over(Window.partitionBy(host).orderBy(F.md5(key), key)) - 1
+def fair_blocks(df: DataFrame, host: str, key: str, block: int = 4, ties: Sequence[str] = ()) -> DataFrame:
+    """Blocks of `block` rows of a host in turn, hosts and rows inside in hashed order, rows of one key in that of `ties`;
+    `block` numbers the turn."""
+    at = F.row_number().over(Window.partitionBy(host).orderBy(F.md5(key), key, *ties)) - 1
     return df.withColumn("block", F.floor(at / block).cast("int")).withColumn("host_hash", F.md5(host)).withColumn("key_hash", F.md5(key))
 
 

@@ -40,7 +40,7 @@ def host_fair_order(spark, d):
     from leafmill.functions.urls import host
 
     p = read(spark, d, "pages").select("page_id", "url", host(F.col("url")).alias("host"))
-    return r.fair_blocks(p, "host", "url").select("page_id", "host", "block", "host_hash", "key_hash")
+    return r.fair_blocks(p, "host", "url", ties=["page_id"]).select("page_id", "host", "block", "host_hash", "key_hash")
 
 
 @query("best_n_per_group", "select c_custkey, c_nationkey, c_acctbal from (select *, row_number() over (partition by c_nationkey order by c_acctbal desc, c_custkey) as r from customer) where r <= 3")

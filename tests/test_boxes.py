@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from leafmill.operators import evidence
+from leafmill.operators import evidence, ranking
 from leafmill.operators.joins import overlap
 from pyspark.sql import functions as F
 
@@ -42,3 +42,16 @@ def test_a_page_of_many_boxes(spark):
     rows = spark.range(60_000).selectExpr("0L as page", "id", "if(id % 2 = 0, 5.0D, cast(id as double) * 4) as x0", "0.0D as y0", "'a' as source").selectExpr("page", "id", "x0", "y0", "x0 + 3 as x1", "y0 + 2 as y1", "source")
     r = evidence.box_match(rows.drop("source"), rows, "page").first()
     assert (r.boxes, r.hit, r.found, r.off_target) == (60_000, 60_000, 60_000, 0)
+
+
+def test_blocks_of_equal_keys_do_not_hang_on_the_order_of_rows(spark):
+    rows = [(i, "h", f"u{i % 5}") for i in range(40)]
+    got = []
+    for seed in range(6):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "page_id long, host string, url string").repartition(1 + seed % 4)
+        got.append({r.page_id: r.block for r in ranking.fair_blocks(df, "host", "url", ties=["page_id"]).collect()})
+    assert all(g == got[0] for g in got)
+    for u in range(5):
+        blocks = [got[0][i] for i in range(u, 40, 5)]
+        assert blocks == sorted(blocks)
