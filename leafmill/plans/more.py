@@ -205,11 +205,9 @@ def weighted_pool(spark, d):
 with p as (select a.label as a, b.label as b, round({C}, 9) as c from embeddings a join embeddings b on a.label < b.label and a.vec_id % 7 = b.vec_id % 7), g as (select a, b, count(*) as n, avg(c) as mean, min(c) as least from p group by all)
 select a, b, n, case when n > 1 and least > 0.2 then 'confirmed' when mean > 0.2 then 'first pages only' when mean > 0.5 then 'template only' else 'no' end as verdict from g""")
 def pair_verdicts(spark, d):
-    from leafmill.operators.joins import cosine
+    from leafmill.operators.joins import pair_cosines
 
-    e = vectors(spark, d).withColumn("k", F.col("vec_id") % 7)
-    a, b = (e.select(F.col("label").alias(n), "k", F.col("embedding").alias(f"v{n}")) for n in "ab")
-    g = a.join(b, "k").filter("a < b").withColumn("c", F.round(cosine(F.col("va"), F.col("vb")), 9)).groupBy("a", "b").agg(F.count("*").alias("n"), F.avg("c").alias("mean"), F.min("c").alias("least"))
+    g = pair_cosines(vectors(spark, d).withColumn("k", F.col("vec_id") % 7), "label", "embedding", "k", 0.2, [0.5])
     return dedup.candidate_verdict(g, ok=0.2).select("a", "b", "n", "verdict")
 
 
