@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from leafmill.sources.scratch import materialise, maybe_broadcast
 
 
-#: Fields that are filled beside one copy of a bank of lines.
+#: Fields that are filled as one part.
 FIELDS_A_PART = 8000
 
 
@@ -76,44 +76,103 @@ def search_until(rows: DataFrame, needs: DataFrame, kind: str, file: str, order:
     return counted.crossJoin(F.broadcast(ends)).filter(F.col("stop_").isNull() | (F.col("chunk") <= F.col("stop_"))).drop("r_", "k_", "stop_", "need")
 
 
+def _in_order(rows: DataFrame, lang: str) -> tuple[DataFrame, DataFrame]:
+    """rows (lang, length_, line_, key_, stem_) with at_, the place in their language by these, and (lang, length_, n_,
+    start_): what there is of a length and before it. Rows are sorted inside their length only."""
+    counts = materialise(rows.groupBy(lang, "length_").agg(F.count("*").alias("n_")))
+    starts = counts.withColumn("start_", F.coalesce(F.sum("n_").over(Window.partitionBy(lang).orderBy("length_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy(lang, "length_").orderBy("line_", "key_", "stem_"))
+    return rows.withColumn("r_", own).join(maybe_broadcast(starts.drop("n_")), [lang, "length_"]).withColumn("at_", F.col("start_") + F.col("r_") - 1).drop("r_", "start_"), starts
+
+
+def _last_lines(rows: DataFrame, lang: str, fields: int) -> DataFrame:
+    """Of rows (lang, length_, line_, key_, stem_) those among which a form of at most `fields` fields has its shortest line
+    of unused key and stem, whatever it has used: of a stem the shortest of so many keys (one of them is unused), of a key
+    likewise, and of these as many as the keys and stems of the other fields can hold, and one."""
+    order = ("length_", "line_", "key_", "stem_")
+    for by in (("key_", "stem_"), ("stem_",), ("key_",)):
+        place = F.row_number().over(Window.partitionBy(lang, *by).orderBy(*order))
+        rows = rows.withColumn("r_", place).filter(F.col("r_") <= (1 if len(by) == 2 else fields)).drop("r_")
+    return _in_order(materialise(rows), lang)[0].filter(F.col("at_") <= 2 * fields * (fields - 1))
+
+
 def pick_lines(fields: DataFrame, bank: DataFrame, lang: str = "lang", form: str = "form", field: str = "field", cap: str = "cap", tries: int = 8, seed: str = "") -> DataFrame:
     """(lang, form, field, line): for each field a line of the language's bank (lang, line, key, stem) of at most `cap`
-    characters, its length near a seeded share of the field, wider with each try; no key and no stem comes twice in a form.
+    characters, its length near a seeded share of the field, wider with each try; where no try finds one, the shortest that
+    is left. No key and no stem comes twice in a form, and a field has no line only if every line that fits it has a key
+    or stem that its form has by then.
 
-    A form is filled field by field, so a form is the unit of work. Forms of a language are dealt into parts of about
-    FIELDS_A_PART fields; each part, not each field, meets one copy of its language's bank."""
+    A form is filled field by field, so a form is the unit of work. Forms of a language and of about one size are dealt
+    into parts of about FIELDS_A_PART fields. The places of the lines that the tries look at are drawn from the lengths
+    alone; only these lines are fetched from the bank, which no task holds, and the few that are left for the rest."""
     kinds = dict(fields.dtypes)
-    sizes = materialise(fields.groupBy(lang).agg(F.ceil(F.count("*") / FIELDS_A_PART).cast("int").alias("parts_")).filter(F.col(lang).isNotNull()))
-    asked = fields.select(lang, form, field, cap).join(maybe_broadcast(sizes), lang).withColumn("part_", F.pmod(F.xxhash64(form), F.col("parts_")).cast("int")).drop("parts_")
-    copies = bank.select(lang, "line", "key", "stem").join(maybe_broadcast(sizes), lang).withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1))).drop("parts_")
-
-    def run(of: pa.Table, lines: pa.Table) -> pa.Table:
-        held = sorted(((len(r["line"]), r["line"], r["key"], r["stem"]) for r in lines.to_pylist() if r["line"] is not None), key=lambda x: (x[0], *((v is not None, v) for v in x[1:])))
-        long, forms, out = [r[0] for r in held], {}, []
+    asked = fields.select(lang, form, field, cap).filter(F.col(lang).isNotNull())
+    asked = materialise(asked.withColumn("size_", F.ceil(F.log2(F.count("*").over(Window.partitionBy(lang, form)))).cast("int")))
+    sizes = materialise(asked.groupBy(lang, "size_").agg(F.ceil(F.count("*") / FIELDS_A_PART).cast("int").alias("parts_")))
+    asked = asked.join(maybe_broadcast(sizes), [lang, "size_"]).withColumn("part_", F.pmod(F.xxhash64(form), F.col("parts_")).cast("int")).drop("parts_")
+    longest = materialise(asked.groupBy(lang).agg(F.max(cap).alias("most_")))
+    lines = bank.select(lang, F.length("line").alias("length_"), F.col("line").alias("line_"), F.col("key").alias("key_"), F.col("stem").alias("stem_"))
+    lines = materialise(lines.join(maybe_broadcast(longest), lang).filter("length_ <= most_").drop("most_"))
+    placed, lengths = _in_order(lines, lang)
+    copies = lambda rows, on: rows.join(maybe_broadcast(sizes), on).withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1))).drop("parts_")
+    columns = {c: kinds[c] for c in (lang, form, field, cap)} | {"size_": "int", "part_": "int", "row_": "int", "try_": "int", "at_": "long"}
+    listed = lambda of: ", ".join(f"`{c}` {k}" for c, k in of.items())
+
+    def draw(of: pa.Table, counts: pa.Table) -> pa.Table:
+        held = sorted(zip(*(counts.column(c).to_pylist() for c in ("length_", "n_")), strict=True))
+        long, ends, forms, out = [n for n, _ in held], [0], {}, []
+        for _, n in held:
+            ends.append(ends[-1] + n)
         for r in of.to_pylist():
             forms.setdefault(r[form], []).append(r)
         for rows in forms.values():
-            used, stems = set(), set()
-            for r in sorted(rows, key=lambda r: (r[field] is None, r[field])):
+            for row, r in enumerate(sorted(rows, key=lambda r: (r[field] is None, r[field], r[cap] is None, r[cap]))):
                 rng = random.Random(f"{seed}|{r[form]}|{r[field]}")
-                room, found = r[cap], None
-                fits = 0 if room is None else bisect_right(long, room)
+                room = r[cap]
+                fits = 0 if room is None else ends[bisect_right(long, room)]
                 for t in range(tries if fits else 0):
                     want = room * rng.uniform(0.4, 0.95)
-                    near = range(bisect_left(long, (0.8 - 0.1 * t) * want, 0, fits), bisect_right(long, (1.2 + 0.1 * t) * want, 0, fits)) or range(max(0, fits - 20), fits)
-                    line = held[rng.choice(near)]
-                    if line[2] not in used and line[3] not in stems:
-                        found = line
-                        break
+                    near = range(min(fits, ends[bisect_left(long, (0.8 - 0.1 * t) * want)]), min(fits, ends[bisect_right(long, (1.2 + 0.1 * t) * want)])) or range(max(0, fits - 20), fits)
+                    out.append((*(r[c] for c in (lang, form, field, cap, "size_", "part_")), row, t, rng.choice(near)))
+        kind = {c: of.schema.field(c).type for c in (lang, form, field, cap, "size_", "part_")} | {"row_": pa.int32(), "try_": pa.int32(), "at_": pa.int64()}
+        return pa.table({c: pa.array([x[i] for x in out], k) for i, (c, k) in enumerate(kind.items())})
+
+    def fill(of: pa.Table, last: pa.Table) -> pa.Table:
+        left = sorted(zip(*(last.column(c).to_pylist() for c in ("at_", "length_", "line_", "key_", "stem_")), strict=True), key=lambda x: x[0])
+        forms, out = {}, []
+        for r in of.to_pylist():
+            forms.setdefault(r[form], {}).setdefault(r["row_"], []).append(r)
+        for rows in forms.values():
+            used, stems, at = set(), set(), 0
+            for _, drawn in sorted(rows.items()):
+                free = [r for r in drawn if r["key_"] not in used and r["stem_"] not in stems]
+                r, found = drawn[0], None
+                if free:
+                    best = min(free, key=lambda r: r["try_"])
+                    found = best["line_"], best["key_"], best["stem_"]
+                else:
+                    # What is in use stays in use, so it is passed over for good.
+                    while at < len(left) and (left[at][3] in used or left[at][4] in stems):
+                        at += 1
+                    if at < len(left) and left[at][1] <= r[cap]:
+                        found = left[at][2:]
                 if found:
-                    used.add(found[2])
-                    stems.add(found[3])
-                    out.append((r[lang], r[form], r[field], found[1]))
+                    used.add(found[1])
+                    stems.add(found[2])
+                    out.append((r[lang], r[form], r[field], found[0]))
         kind = {c: of.schema.field(c).type for c in (lang, form, field)} | {"line": pa.string()}
         return pa.table({c: pa.array([x[i] for x in out], k) for i, (c, k) in enumerate(kind.items())})
 
-    met = asked.groupBy(lang, "part_").cogroup(copies.groupBy(lang, "part_"))
-    return met.applyInArrow(run, f"`{lang}` {kinds[lang]}, `{form}` {kinds[form]}, `{field}` {kinds[field]}, line string")
+    by = [lang, "size_", "part_"]
+    drawn = asked.groupBy(*by).cogroup(copies(lengths.drop("start_"), lang).groupBy(*by)).applyInArrow(draw, listed(columns))
+    met = drawn.join(maybe_broadcast(materialise(placed.drop("length_"))), [lang, "at_"])
+    last = None
+    for size in sorted(r[0] for r in sizes.select("size_").distinct().collect()):
+        few = _last_lines(lines.join(maybe_broadcast(sizes.filter(F.col("size_") == size).select(lang)), lang), lang, 1 << size).withColumn("size_", F.lit(size))
+        last = few if last is None else last.unionAll(few)
+    if last is None:
+        last = placed.withColumn("size_", F.lit(0))
+    return met.groupBy(*by).cogroup(copies(last, [lang, "size_"]).groupBy(*by)).applyInArrow(fill, listed({c: kinds[c] for c in (lang, form, field)}) + ", line string")
 
 
 def field_values(rows: DataFrame, key: Column, first: Sequence[str], last: Sequence[str], domains: Sequence[str], days: int, since: str = "2000-01-01") -> DataFrame:

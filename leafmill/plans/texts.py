@@ -139,19 +139,12 @@ def field_values(spark, d):
 
 @query("line_pick", None)
 def line_pick(spark, d):
-    """Lines for made-up forms of four fields, one form for every tenth customer."""
+    """Lines for made-up forms of four fields, one form for each customer, of all lines of the documents."""
     bank = lines(spark, d).select("lang", "line").distinct().withColumn("key", dedup.normal_key(F.col("line"))).withColumn("stem", text.stem(F.col("key")))
     short = dedup.keep_first(bank, ["lang", "key"], ["line"])
     forms = read(spark, d, "customer").select(F.col("c_custkey").alias("form"), F.element_at(F.array(F.lit("en"), F.lit("de"), F.lit("fr"), F.lit("es")), (F.col("c_custkey") % 4 + 1).cast("int")).alias("lang"))
     fields = forms.withColumn("field", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("cap", 40 + 25 * F.col("field"))
-    few = short.withColumn("r_", F.row_number().over(_by_hash("lang", "key"))).filter("r_ <= 2000").drop("r_")
-    return records.pick_lines(fields, few)
-
-
-def _by_hash(by, key):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(by).orderBy(F.md5(key), key)
+    return records.pick_lines(fields, short)
 
 
 @query("wide_inventory", """

@@ -61,3 +61,30 @@ def test_shapes_of_many_glyphs(spark):
     many = lambda c, n: spark.range(n).selectExpr(f"{c}", "if(id % 2 = 0, array(1, 2, 3), array(1, 2, 3, 4)) as b")
     out = decoding.nearest_shapes(many("id as k", 20_000), many("id as label", 20_000), "k", "b", "label").groupBy("label", "score").count().collect()
     assert sorted(tuple(r) for r in out) == [(19_998, 1.0, 10_000), (19_999, 1.0, 10_000)]
+
+
+def test_a_field_has_a_line_as_long_as_one_is_left(spark):
+    """Tries look at some lines only; a field goes without one only if each that fits has a key or stem of its form."""
+    stems = [("a", 90), ("b", 3), ("c", 1), ("d", 1)]
+    bank = [("en", s * (4 + k % 11) + str(k), f"{s}{k}", s) for s, n in stems for k in range(n)] + [("en", "zz", "a1", "z"), ("en", "zzzzzzzz", None, None)]
+    fields = [("en", f, k, 20) for f in range(60) for k in range(7)] + [("en", 100, k, 3 if k == 8 else 20) for k in range(9)] + [("en", 200, k, 6) for k in range(2)]
+    made = spark.createDataFrame(fields, "lang string, form int, field int, cap int"), spark.createDataFrame(bank, "lang string, line string, key string, stem string")
+    got = {}
+    for r in records.pick_lines(*made).collect():
+        got.setdefault(r.form, {})[r.field] = r.line
+    known = {line: (key, stem) for _, line, key, stem in bank}
+    for f in {x[1] for x in fields}:
+        used, of = [], {k: cap for _, g, k, cap in fields if g == f}
+        for k, cap in sorted(of.items()):
+            free = [x for x, (key, stem) in known.items() if len(x) <= cap and key not in {u[0] for u in used} and stem not in {u[1] for u in used}]
+            assert (k in got.get(f, {})) == bool(free)
+            if free:
+                assert got[f][k] in free
+                used.append(known[got[f][k]])
+
+
+def test_lines_are_picked_from_the_whole_bank(spark):
+    """More lines of a language than any bound on a bank: the only ones that fit come last."""
+    bank = spark.range(30_000).selectExpr("'en' as lang", "if(id >= 29990, concat('s', id), concat(repeat('x', 30), id)) as line", "cast(id as string) as key", "cast(id as string) as stem")
+    fields = spark.range(200).selectExpr("'en' as lang", "id as form", "explode(sequence(0, 9)) as field", "8 as cap")
+    assert records.pick_lines(fields, bank).groupBy("form").count().filter("count = 10").count() == 200
