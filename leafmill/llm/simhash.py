@@ -20,6 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +49,17 @@ CROWD, PAIRS_A_ROW = 64, 16
 TURN, FEW = 4, 20_000
 #: Shingles that are counted at a time when sets are compared as bits.
 COLUMNS = 8192
-#: Documents whose shingles tell the frequent ones, and how many of these are told apart at most.
-SAMPLE, FREQUENT = 2000, 50_000
-#: Rows of a batch.
-SLICE = 500
+#: Documents whose shingles tell the frequent ones, as a number and as a share of all if that is more, so that buckets do
+#: not grow with the table, and how many of these shingles are told apart at most.
+SAMPLE, SHARE, FREQUENT = 2000, 0.01, 50_000
+#: Rows of a batch, and bytes of text whose words are hashed together.
+SLICE, PIECE = 500, 1_000_000
 PAIRS = tuple(combinations(range(4), 2))
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Words of more bytes are not hashed eight bytes at a time.
+LONG = 256
+#: An odd number, by which a hash is taken before the next part of a word comes in.
+FIRST = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -288,11 +294,85 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _second(hashes: np.ndarray) -> np.ndarray:
     """Other bits of the same shingles, for the second word of a fingerprint."""
+    return _stirred(hashes)
+
+
+def _stirred(hashes: np.ndarray) -> np.ndarray:
+    """A reversible mix of 64 bits."""
     x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def majorities(hashes: np.ndarray) -> tuple[int, int]:
+    """The bits set in over half of the hashes, and of their second words: ones are added up in bytes, 255 rows at a time."""
+    ones = np.zeros(128, dtype=np.int64)
+    for at in range(0, len(hashes), 65_280):
+        part = hashes[at : at + 65_280]
+        bits = np.unpackbits(np.stack([part, _second(part)], axis=1).astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
+        whole = len(bits) // 255 * 255
+        ones += np.add.reduce(bits[:whole].reshape(-1, 255, 128), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        ones += np.add.reduce(bits[whole:], axis=0, dtype=np.uint8)
+    return tuple(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8").tolist())
+
+
+def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """For each text its distinct word shingles as 64-bit hashes in increasing order; words as in shingle_hashes().
+
+    All words of some texts are hashed at once; a shingle is the sum of its words' hashes, each times a number of its
+    place, stirred."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + PIECE, side="right")))
+        yield from _piece(texts.slice(at, to - at), shingle)
+        at = to
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of strings without nulls: eight bytes at a time are added and stirred in, a step that parts whatever
+    differs; the length comes first. Words of over LONG bytes have their XXH64."""
+    kind = np.int64 if pa.types.is_large_string(words.type) else np.int32
+    _, places, data = words.buffers()
+    places = np.frombuffer(places, dtype=kind)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    raw = np.frombuffer(b"" if data is None else data, dtype=np.uint8)[places[0] : places[-1]]
+    raw = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    eights = np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+    at, left = places[:-1] - places[0], np.diff(places)
+    found, which = _stirred(left.astype(np.uint64) + FIRST), np.nonzero((left > 0) & (left <= LONG))[0]
+    for k in np.nonzero(left > LONG)[0]:
+        found[k] = xxhash.xxh64_intdigest(raw[at[k] : at[k] + left[k]].tobytes(), SEED)
+    while len(which):
+        here = np.minimum(left[which], 8).astype(np.uint64)
+        part = eights[at[which]] & (ALL >> (np.uint64(64) - np.uint64(8) * here))
+        found[which] = _stirred(found[which] * FIRST + part)
+        at[which] += 8
+        left[which] -= 8
+        which = which[left[which] > 0]
+    return found
+
+
+def _piece(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, ""))))
+    flat = lists.flatten()
+    words, sizes = _word_hashes(flat), pc.binary_length(flat).to_numpy(zero_copy_only=False)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    places = np.array([xxhash.xxh64_intdigest(b"%d" % k, SEED) | 1 for k in range(shingle + 1)], dtype=np.uint64)
+    sums = np.full(max(0, len(words) - shingle + 1), np.uint64(shingle) * places[shingle], dtype=np.uint64)
+    for k in range(shingle):
+        sums += words[k : k + len(sums)] * places[k]
+    whole = _stirred(sums)
+    for n, end in zip(counts.tolist(), counts.cumsum().tolist(), strict=True):
+        start = end - n
+        if not n or not sizes[start]:  # a text without words is one empty word here
+            yield np.empty(0, dtype=np.uint64)
+        elif n < shingle:
+            yield _stirred((words[start:end] * places[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n) * places[shingle : shingle + 1])
+        else:
+            s = np.sort(whole[start : end - shingle + 1])
+            yield s[np.concatenate([[True], s[1:] != s[:-1]])]
+
+
 def _node(s: np.ndarray) -> int:
     """Equal sets are one node."""
     return xxhash.xxh3_64_intdigest(s.astype("<u8").tobytes(), SEED) - (1 << 63)
@@ -310,7 +390,7 @@ def _sets(shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            found = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(0)]
+            found = list(shingle_sets(batch.column(0), shingle))
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["node", "set"])
 
     return run
@@ -323,16 +403,16 @@ def _firsts(shingle: int, t: Fraction, frequent):
         keys, counts = frequent.value
         for batch in _slices(batches):
             nodes, sizes, f1, f2, firsts = [], [], [], [], []
-            for text in batch.column(1):
-                s = np.unique(shingle_hashes(text.as_py(), shingle))
+            for s in shingle_sets(batch.column(1), shingle):
                 nodes.append(_node(s))
                 sizes.append(len(s))
-                f1.append(majority(s))
-                f2.append(majority(_second(s)))
+                for f, bits in zip((f1, f2), majorities(s), strict=True):
+                    f.append(bits)
                 ordered = s
                 if len(s) and len(keys):
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-                    ordered = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
+                    if (hit := keys[at] == s).any():
+                        ordered = np.concatenate([s[~hit], s[hit][np.argsort(counts[at[hit]], kind="stable")]])
                 firsts.append(ordered[: len(s) + 1 + (-t.numerator * len(s) // t.denominator)].view(np.int64))
             words = [pa.array(np.array(f, dtype=np.uint64).view(np.int64)) for f in (f1, f2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *words, pa.array(firsts, pa.list_(pa.int64()))], names=["id", "node", "n", "f1", "f2", "firsts"])
@@ -343,7 +423,7 @@ def _firsts(shingle: int, t: Fraction, frequent):
 def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of several documents of a sample, sorted, and in how many they are. They come last in the order of the
     shingles; the sample decides how full buckets are, never which pairs are found."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
+    share = min(1.0, max(SHARE, SAMPLE / max(1, docs.count())))
     some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(share * 1_000_000)).select("text")
     each = some.mapInArrow(_sets(shingle), "node long, set array<long>").select(F.explode("set").alias("h"))
     found = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
@@ -546,13 +626,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = rows.filter("id is not null")
     # Nodes are sets; of each the least id is read again for its whole set.
     nodes = materialise(known.groupBy("node").agg(F.min("id").alias("rep")))
-    one = known.join(nodes.select(F.col("node").alias("node_"), "rep"), (F.col("node") == F.col("node_")) & (F.col("id") == F.col("rep"))).dropDuplicates(["node"])
-    spread = materialise(one.select(F.explode("firsts").alias("h"), "node", "n", "f1", "f2"))
+    one = known.join(nodes.select(F.col("node").alias("node_"), "rep"), (F.col("node") == F.col("node_")) & (F.col("id") == F.col("rep"))).dropDuplicates(["node", "id"])
+    one = materialise(one.select("node", "n", "f1", "f2", "firsts"))
+    # Exploded when it is read: as files the rows would be a multiple of the texts.
+    spread = one.select(F.explode("firsts").alias("h"), "node", "n", "f1", "f2")
     shared = materialise(spread.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select(F.col("h").alias("h_")))
     may, _ = split_by(spread, "h", shared, "h_")
     met = materialise(may.join(shared, F.col("h") == F.col("h_")).drop("h_"))
     slim = materialise(rows.select("id", "node"))
-    forget(rows, spread, shared)
+    forget(rows, one, shared)
     known = slim.filter("id is not null")
 
     def sets_of(few: DataFrame) -> DataFrame:

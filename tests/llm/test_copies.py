@@ -143,3 +143,43 @@ def test_shuffle_files_go_with_their_statement(spark):
         time.sleep(0.1)
     assert written() <= before and table.count() == 1000
     scratch.forget(table)
+
+
+def test_shingles_of_many_texts_at_once(monkeypatch):
+    """Sets of the near copies are made of whole batches, not shingle by shingle, and tell the same shingles apart."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    words = [*VOCABULARY, "É", "\x1c", "a\x00", "a\x00\x00", "12345678", "123456789", "x" * 255, "x" * 256, "x" * 257, "x" * 3000 + "y", "x" * 3000 + "z"]
+    texts = [rng.choice(["", " ", "\n"]) + rng.choice([" ", "\t\x0b\r\f", "\n"]).join(rng.choices(words, k=rng.randrange(12))) for _ in range(300)] + [None, "", "A B c", "a b C", " ".join(words), " ".join(words[::-1])]
+    want = {}
+    for text in texts:
+        for h in simhash.shingle_hashes(text, 5).tolist():
+            want.setdefault(h, len(want))
+    old = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    monkeypatch.setattr(simhash, "shingle_hashes", None)
+    for kind in (pa.string(), pa.large_string()):
+        for piece in (1, 500, 10**6):
+            monkeypatch.setattr(simhash, "PIECE", piece)
+            column = pa.array(["before", *texts], kind).slice(1)
+            got = [list_.values.to_numpy().view(np.uint64) for batch in simhash._sets(5)(iter([pa.RecordBatch.from_arrays([column], names=["text"])])) for list_ in batch.column(1)]
+            assert [len(s) for s in got] == [len(s) for s in old] and all((np.diff(s.astype(object)) > 0).all() for s in got)
+            assert len(np.unique(np.concatenate(got))) == len(want)
+            for i in range(0, len(texts), 7):
+                assert [len(np.intersect1d(got[i], s)) for s in got] == [len(np.intersect1d(old[i], s)) for s in old]
+
+
+def test_majorities():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 254, 255, 256, 700, 70_000):
+        hashes = rng.integers(0, 2**63, n, dtype=np.uint64) | rng.integers(0, 2**63, n, dtype=np.uint64)
+        assert simhash.majorities(hashes) == (simhash.majority(hashes), simhash.majority(simhash._second(hashes)))
+
+
+def test_frequent_shingles_are_told_by_a_share_of_the_documents(spark, monkeypatch):
+    """A sample of a fixed number of documents would let buckets grow with the table."""
+    monkeypatch.setattr(simhash, "SAMPLE", 10)
+    monkeypatch.setattr(simhash, "SHARE", 0.5)
+    docs = spark.range(4000).selectExpr("id", "concat_ws(' ', 'a', 'common', 'line', 'of', if(id % 50 = 0, 'words', cast(id as string)), cast(id as string)) as text")
+    keys, counts = simhash._frequent(docs, 5)
+    assert len(keys) == 1 and 20 <= counts[0] <= 60
