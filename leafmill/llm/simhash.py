@@ -42,6 +42,8 @@ BLOCK = 1024
 LANES, WAITING = 256, 32_000_000
 #: Rounds in which nodes are linked to their nearest ones in other groups before all that is left is compared.
 NEAREST_ROUNDS = 4
+#: Of a bucket of at most so many nodes all near pairs are taken in the first round, and it is done.
+WHOLE = 8
 #: A part of a bucket of more rows than CROWD with more near pairs than PAIRS_A_ROW for each of them sends no pairs: its
 #: rows are sent again with their whole sets and verified where they are compared.
 CROWD, PAIRS_A_ROW = 64, 16
@@ -433,15 +435,16 @@ def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _near(t: Fraction, radius: int, all_pairs: bool, crowd: int, most: int):
-    """(key, node, n, f1, f2, c, asks) sorted by key -> pairs (a, b) of nodes of one key and different c, one of which
-    asks, whose sizes allow the similarity and whose fingerprints are near: all of them, or of each node that with the
-    nearest other and that with the nearest one before it. Where all are asked for and a key of more than `crowd` rows has
+    """(key, node, n, f1, f2, c, asks, small) sorted by key -> pairs (a, b) of nodes of one key and different c, one of
+    which asks, whose sizes allow the similarity and whose fingerprints are near: all of them, or in keys that are not
+    small of each node that with the nearest other and that with the nearest one before it. Where all are asked for and a key of more than `crowd` rows has
     more than `most` pairs a row, the key comes instead of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             key, node, n, f1, f2, c = _columns(block.select(range(6)))
             asks = np.nonzero(block.column(6).to_numpy(zero_copy_only=False))[0]
+            small = block.column(7).to_numpy(zero_copy_only=False)
             fps = np.stack([f1, f2], axis=1).view(np.uint64)
             names, which, rows = np.unique(key, return_inverse=True, return_counts=True)
             for at in range(0, len(asks), BLOCK):
@@ -458,8 +461,8 @@ def _near(t: Fraction, radius: int, all_pairs: bool, crowd: int, most: int):
                     i, j = i[sparse], j[sparse]
                 else:
                     far = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1)
-                    kept = []
-                    for use in (np.arange(len(i)), np.nonzero(j < i)[0]):
+                    kept = [np.nonzero(small[i] & (j < i))[0]]
+                    for use in (np.nonzero(~small[i])[0], np.nonzero(~small[i] & (j < i))[0]):
                         order = use[np.lexsort((j[use], far[use], i[use]))]
                         kept.append(order[np.diff(i[order], prepend=-1) != 0])
                     kept = np.unique(np.concatenate(kept))
@@ -547,10 +550,10 @@ def _verified(pairs: DataFrame, sets_of, t: Fraction) -> DataFrame:
 
 
 def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, most: int = BLOCK) -> DataFrame:
-    """(h, node, n, f1, f2), a row for each first shingle of a node, and a function that reads the sets of nodes ->
+    """(h, node, n, f1, f2, m), a row for each first shingle of a node with the number of nodes that have it, and a function that reads the sets of nodes ->
     links enough to connect all nodes of similarity t or more.
 
-    First, some rounds: each node is linked to its nearest ones outside its group in each bucket, a crowded bucket being
+    Buckets of at most WHOLE nodes are compared once. For the others, first some rounds: each node is linked to its nearest ones outside its group in each bucket, a crowded bucket being
     cut by a hash that differs from bucket to bucket and round to round, with two of its members in every part. What this
     joins needs no more comparison: then the members that are outside the largest group of their bucket are compared with
     all of the bucket that are not linked to them by now, block by block, by their fingerprints. The near pairs, most of
@@ -563,25 +566,26 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
     row = ["node", "n", "f1", "f2"]
     place = lambda n, *seeds: F.pmod(F.xxhash64("node", *seeds), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    met = met.withColumn("small", F.col("m") <= min(WHOLE, most)).drop("m")
     links_, live, groups = None, met.withColumn("c", F.col("node")), None
     for turn in range(NEAREST_ROUNDS):
         mark = lambda seed, turn=turn: F.struct(F.xxhash64("node", "h", F.lit(2 * turn + seed)), *row, "c")
         crowds = materialise(live.groupBy("h").agg(F.count("*").alias("m"), F.min(mark(0)).alias("p1"), F.min(mark(1)).alias("p2")).filter(F.col("m") > most).withColumn("cuts", F.ceil(F.col("m") / most).cast("int")))
         cut = live.join(maybe_broadcast(crowds.select(F.col("h").alias("h_"), "cuts")), F.col("h") == F.col("h_"), "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-        own = cut.select(F.xxhash64("h", place("cuts", F.col("h"), F.lit(turn))).alias("key"), *row, "c")
+        own = cut.select(F.xxhash64("h", place("cuts", F.col("h"), F.lit(turn))).alias("key"), *row, "c", "small")
         leads = crowds.withColumn("cut", every("cuts")).withColumn("p", F.explode(F.array("p1", "p2")))
-        rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in (*row, "c")]))
-        pairs = materialise(near(rows.select("*", F.lit(True).alias("asks")), False).select("a", "b"))
+        rows = own.unionAll(leads.select(F.xxhash64("h", F.col("cut").cast("int")).alias("key"), *[F.col(f"p.{x}") for x in (*row, "c")], F.lit(False).alias("small")))
+        pairs = materialise(near(rows.select("key", *row, "c", F.lit(True).alias("asks"), "small"), False).select("a", "b"))
         if not turn:
             # Who is near nobody in any bucket that was compared whole is done.
             some = pairs.select(F.explode(F.array("a", "b")).alias("x_")).unionAll(cut.filter("cuts > 1").select("node")).distinct()
-            met = materialise(met.join(some, F.col("node") == F.col("x_"), "left_semi"))
+            met = materialise(met.filter("not small").join(some, F.col("node") == F.col("x_"), "left_semi"))
         new = _verified(pairs, sets_of, t)
         forget(pairs)
         links_ = new if links_ is None else links_.unionAll(new)
         label = materialise(components(links_))
         # Only buckets in which there is more than one group by now are looked at again.
-        named = met.join(label, "node", "left").select("h", *row, F.coalesce("component", "node").alias("c"))
+        named = met.join(label, "node", "left").select("h", *row, F.coalesce("component", "node").alias("c"), "small")
         cells = named.groupBy("h", "c").agg(F.count("*").alias("k"))
         open_ = cells.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("m"), F.count("*").alias("groups")).filter("groups > 1")
         open_ = materialise(open_.select(F.col("h").alias("h_"), F.col("top.c").alias("big"), F.col("top.k").alias("k"), "m", "groups"))
@@ -597,7 +601,7 @@ def similar(met: DataFrame, sets_of, t: Fraction, radius: int = COPY_RADIUS, mos
     told = sized.withColumn("cut", place("cuts", F.lit(3))).withColumn("slice", every("slices")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(False).alias("asks"))
     ask = sized.filter("c != big").withColumn("slice", place("slices", F.lit(4))).withColumn("cut", every("cuts")).select(F.xxhash64("h", "cut", "slice").alias("key"), *row, "c", F.lit(True).alias("asks"))
     cells = told.unionAll(ask)
-    seen = materialise(near(cells, True))
+    seen = materialise(near(cells.withColumn("small", F.lit(False)), True))
     rest = _verified(seen.filter("dense is null").select("a", "b"), sets_of, t)
     crowded = materialise(cells.join(seen.filter("dense is not null").select(F.col("dense").alias("key")), "key", "left_semi"))
     held = sets_of(crowded.select("node").distinct())
@@ -630,7 +634,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = materialise(one.select("node", "n", "f1", "f2", "firsts"))
     # Exploded when it is read: as files the rows would be a multiple of the texts.
     spread = one.select(F.explode("firsts").alias("h"), "node", "n", "f1", "f2")
-    shared = materialise(spread.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select(F.col("h").alias("h_")))
+    shared = materialise(spread.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("m")).filter("low < high").select(F.col("h").alias("h_"), "m"))
     may, _ = split_by(spread, "h", shared, "h_")
     met = materialise(may.join(shared, F.col("h") == F.col("h_")).drop("h_"))
     slim = materialise(rows.select("id", "node"))

@@ -183,3 +183,17 @@ def test_frequent_shingles_are_told_by_a_share_of_the_documents(spark, monkeypat
     docs = spark.range(4000).selectExpr("id", "concat_ws(' ', 'a', 'common', 'line', 'of', if(id % 50 = 0, 'words', cast(id as string)), cast(id as string)) as text")
     keys, counts = simhash._frequent(docs, 5)
     assert len(keys) == 1 and 20 <= counts[0] <= 60
+
+
+def test_small_buckets_give_all_their_pairs():
+    """They are done after one comparison; of larger ones only the nearest are linked at first."""
+    from fractions import Fraction
+
+    import pyarrow as pa
+
+    fps = pa.array([0, 1, 3, 0, 1, 3], pa.int64())
+    node, yes = pa.array(range(6), pa.int64()), pa.array([True] * 6)
+    columns = {"key": pa.array([1, 1, 1, 2, 2, 2], pa.int64()), "node": node, "n": pa.array([10] * 6, pa.int64()), "f1": fps, "f2": fps, "c": node, "asks": yes, "small": pa.array([True] * 3 + [False] * 3)}
+    near = simhash._near(Fraction(4, 5), 44, False, 64, 16)
+    found = [(r["a"], r["b"]) for b in near(iter([pa.RecordBatch.from_pydict(columns)])) for r in b.to_pylist()]
+    assert set(found) == {(0, 1), (0, 2), (1, 2), (3, 4), (4, 5)}
